@@ -7,13 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, packing, pii, quality, warc
+from . import bpe, chat, packing, pii, quality, toxicity, warc
 from .common import documents
 
 #: The key of the registered query; a deployment passes its own.
 PII_KEY = "lexloom-demo-key"
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.train(docs, documents(spark, sf_dir, "labels")))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -39,7 +44,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_byte_bpe, op4_quality_bands, op6_packing, op7_pii, op9_chat, op10_warc)
+    f.__name__: f for f in (op1_toxicity, op3_byte_bpe, op4_quality_bands, op6_packing, op7_pii, op9_chat, op10_warc)
 }
 
 SQL = {
