@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, packing, pii, quality, toxicity, warc
+from . import bpe, chat, neardup, packing, pii, quality, toxicity, warc
 from .common import documents
 
 #: The key of the registered query; a deployment passes its own.
@@ -35,6 +35,10 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(documents(spark, sf_dir).select("doc_id", "text"), PII_KEY)
 
 
+def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir), percent=85).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat(documents(spark, sf_dir, "conversations"))
 
@@ -44,7 +48,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op3_byte_bpe, op4_quality_bands, op6_packing, op7_pii, op9_chat, op10_warc)
+    f.__name__: f for f in (op1_toxicity, op3_byte_bpe, op4_quality_bands, op6_packing, op7_pii, op8_neardup, op9_chat, op10_warc)
 }
 
 SQL = {
