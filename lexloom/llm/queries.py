@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, neardup, packing, pii, quality, toxicity, warc
+from . import ann, bpe, chat, neardup, packing, pii, quality, suffix, toxicity, warc
 from .common import documents
 
 #: The key of the registered query; a deployment passes its own.
@@ -19,6 +19,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, documents(spark, sf_dir, "labels")))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digests(documents(spark, sf_dir))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -27,6 +31,11 @@ def op4_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir))
 
 
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = documents(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -48,7 +57,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op3_byte_bpe, op4_quality_bands, op6_packing, op7_pii, op8_neardup, op9_chat, op10_warc)
+    f.__name__: f for f in (op1_toxicity, op2_suffix_dedup, op3_byte_bpe, op4_quality_bands, op5_ann, op6_packing, op7_pii, op8_neardup, op9_chat, op10_warc)
 }
 
 SQL = {
