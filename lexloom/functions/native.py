@@ -1,0 +1,73 @@
+"""Text functions that stay in the JVM, for text where Java's and Python's ideas of characters agree."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+TAG = r"</?[A-Za-z][^>]*>"
+#: The named entities that are resolved natively.
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
+
+
+def strip_tags(col: Column) -> Column:
+    return F.regexp_replace(col, TAG, "")
+
+
+def unescape(col: Column) -> Column:
+    for entity, char in ENTITIES.items():
+        col = F.replace(col, F.lit(entity), F.lit(char))
+    return col
+
+
+def link_text(col: Column) -> Column:
+    """[[target|shown]] to shown and [[target]] to target."""
+    return F.regexp_replace(F.regexp_replace(col, r"\[\[[^\[\]|]*\|([^\[\]]*)\]\]", "$1"), r"\[\[([^\[\]|]*)\]\]", "$1")
+
+
+def drop_emphasis(col: Column) -> Column:
+    return F.regexp_replace(col, "'{2,}", "")
+
+
+def collapse_spaces(col: Column) -> Column:
+    return F.regexp_replace(col, "[ \t]+", " ")
+
+
+def gloss_key(col: Column) -> Column:
+    """Comparison key of a heading: one blank between words, lower case, one closing period off unless there are two."""
+    plain = F.lower(F.trim(F.regexp_replace(col, r"\s+", " ")))
+    return F.when(plain.rlike(r"[^.]\.$"), F.regexp_replace(plain, r"\.$", "")).otherwise(plain)
+
+
+def statement_case(col: Column) -> Column:
+    """First letter upper case, closing punctuation made a period; "" without a letter or digit."""
+    trimmed = F.trim(col)
+    shown = F.concat(F.upper(F.substring(trimmed, 1, 1)), F.substring(trimmed, F.lit(2), F.length(trimmed)))
+    tail = F.regexp_replace(shown, r"\s*[,;:]$", ".")
+    return F.when(~trimmed.rlike("[A-Za-z0-9]"), "").when(tail.rlike(r"[.?!]$"), tail).otherwise(F.concat(tail, F.lit(".")))
+
+
+def headword_shape(col: Column) -> Column:
+    """How a headword is written; the first class that fits."""
+    return (
+        F.when(F.contains(col, F.lit(" ")), "Multiword").when(col.rlike("['’]"), "Apostrophe").when(F.contains(col, F.lit("-")), "Hyphenated")
+        .when(col.rlike(r"[^\x00-\x7F]"), "Non-ASCII").otherwise("Plain")
+    )
+
+
+def year_of(col: Column) -> Column:
+    """The first year from 1000 to 2099 that stands by itself, an "s" behind it allowed."""
+    found = F.regexp_extract(col, r"(?:^|[^A-Za-z0-9_])((?:1[0-9]|20)[0-9]{2})s?(?:[^A-Za-z0-9_]|$)", 1)
+    return F.nullif(found, F.lit("")).cast("int")
+
+
+def agreement(lemmatizer: Column, bold: Column) -> Column:
+    """How two arrays of ranges, struct<start, end>, relate."""
+    same = F.size(F.array_intersect(lemmatizer, bold))
+    touch = F.exists(lemmatizer, lambda a: F.exists(bold, lambda b: (a["start"] < b["end"]) & (b["start"] < a["end"])))
+    return (
+        F.when((F.size(lemmatizer) == 0) & (F.size(bold) == 0), F.lit(None).cast("string"))
+        .when(F.size(bold) == 0, "Lemmatizer only").when(F.size(lemmatizer) == 0, "Bold only")
+        .when((same == F.size(lemmatizer)) & (same == F.size(bold)), "Exact agreement").when(same > 0, "Partial agreement")
+        .when(touch, "Overlapping proposals").otherwise("Disagreement")
+    )
