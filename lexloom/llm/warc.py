@@ -228,7 +228,8 @@ def chunks(archives: DataFrame, data: bool = True) -> DataFrame:
         if rows:
             yield flush()
 
-    spread = archives.select("path").repartition("path")
+    # A stated number of partitions: by the column alone, adaptive execution puts all paths into one task.
+    spread = archives.select("path").repartition(max(archives.count(), 1), "path")
     return spread.mapInArrow(arrow_rows(run, schema), CHUNKS + ", data binary" * data)
 
 
