@@ -27,7 +27,16 @@ def overlaps(df: DataFrame, group: list[str], start: str, end: str) -> DataFrame
 
 
 def split_runs(df: DataFrame, key: str, order: str) -> DataFrame:
-    """Keys whose rows don't stand together."""
-    w = Window.orderBy(order) if key is None else Window.partitionBy(F.lit(0)).orderBy(order)
-    runs = df.withColumn("__new", (~F.lag(key).over(w).eqNullSafe(F.col(key))).cast("int"))
-    return runs.groupBy(key).agg(F.sum("__new").alias("runs")).where("runs > 1")
+    """Keys whose rows don't stand together; order counts rows without gaps. An aggregate, so no task holds all rows."""
+    runs = df.groupBy(key).agg(F.count("*").alias("n"), (F.max(order) - F.min(order) + 1).alias("reach"))
+    return runs.where("n < reach").select(key)
+
+
+def line_numbers(lines: DataFrame, place: str, order: str) -> DataFrame:
+    """(place, line): lines numbered from 1. Only one count a partition is ordered in one task."""
+    part = F.shiftright(place, 33)
+    sizes = lines.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"), F.min(order).alias("__first"))
+    before = Window.orderBy("__first").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    numbered = lines.withColumn("__part", part).join(starts, "__part")
+    return numbered.select(F.col(place).alias("place"), (F.col("__start") + F.col(place).bitwiseAND((1 << 33) - 1) + 1).alias("line"))
