@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions import glosses, offsets, udfs
 from ..operators import filters, merge
-from ..schema import SENSE, TABLE
+from ..schema import SENSE, SENTENCE, TABLE
 
 IN_LANGUAGE = "en"
+#: A sense comes after those of its ancestors that stand at the same place.
+LEAF = 1_000_000
 
 
 def lemma_id(lemma: Column, pos: Column) -> Column:
@@ -75,6 +77,21 @@ def merge_senses(senses: DataFrame) -> DataFrame:
     return grouped.select("lemma_id", F.get("all", F.lit(0))["o"].alias("o"), made.alias("s"))
 
 
+def ancestors(entry: DataFrame, wikidata: DataFrame) -> DataFrame:
+    """(lemma_id, o, s): a sense without evidence for each inner level that has ids, before the first sense below it."""
+    chains = entry.select("lemma_id", "lemma", "tag", "ord", F.posexplode("built").alias("at", "s")).where(F.size("s.glosses") > 1)
+    levels = chains.select("lemma_id", "lemma", "tag", "ord", "at", F.col("s.etymology").alias("etymology"), "s.glosses", F.explode(F.sequence(F.lit(1), F.size("s.glosses") - 1)).alias("depth"))
+    named = levels.withColumn("glosses", F.slice("glosses", F.lit(1), F.col("depth"))).withColumn("sense_id", udfs.sense_id("lemma", "tag", "etymology", "glosses"))
+    own = entry.select("lemma_id", "ord", F.explode("built").alias("b")).select("lemma_id", "ord", F.col("b.id").alias("sense_id"))
+    found = named.join(wikidata.select("sense_id"), "sense_id", "left_semi").join(own, ["lemma_id", "ord", "sense_id"], "left_anti")
+    first = merge.first_seen(found, ["lemma_id", "ord", "sense_id"], "at")
+    none = F.array().cast("array<string>")
+    made = F.struct(
+        F.col("sense_id").alias("id"), "glosses", "etymology", none.alias("synonyms"), none.alias("tags"), none.alias("topics"),
+        F.array().cast(f"array<{SENTENCE}>").alias("sentences"), none.alias("wikidata_ids"))
+    return first.select("lemma_id", F.struct("ord", "at", "depth").alias("o"), made.cast(SENSE).alias("s"))
+
+
 def collect(
     entries: DataFrame, pos: list[str] | None = None, min_year: int | None = None, max_year: int | None = None, language: str = IN_LANGUAGE,
     markup: DataFrame | None = None, wikidata: DataFrame | None = None, off_page: DataFrame | None = None,
@@ -90,7 +107,9 @@ def collect(
     built = with_markup.withColumn("built", udfs.builder(min_year, max_year)("lemma", "tag", "etymology_number", "senses", "formulas")).where(F.size("built") > 0)
     forms = filters.service_forms(F.coalesce("forms", F.array().cast("array<struct<form:string,tags:array<string>>>")), F.col("lemma"))
     entry = built.select("lemma_id", "lemma", "tag", "ord", "built", forms.alias("own_forms"), "translations")
-    senses = entry.select("lemma_id", F.posexplode("built").alias("at", "s"), "ord").select("lemma_id", F.struct("ord", "at").alias("o"), "s")
+    senses = entry.select("lemma_id", F.posexplode("built").alias("at", "s"), "ord").select("lemma_id", F.struct("ord", "at", F.lit(LEAF).alias("depth")).alias("o"), "s")
+    if wikidata is not None:
+        senses = senses.unionByName(ancestors(entry, wikidata))
     merged = merge_senses(senses)
     if wikidata is not None:
         known = wikidata.select("sense_id", F.col("ids").alias("more"))
@@ -112,6 +131,13 @@ def collect(
     )
 
 
+def exported(lemmas: DataFrame) -> DataFrame:
+    """Lemmas in the shape of the JSON lines: a range is offset [start, end] with its sources."""
+    offset = lambda o: F.struct(F.array(o["start"], o["end"]).alias("offset"), o["sources"].alias("sources"))
+    sentence = lambda x: F.struct(x["text"].alias("text"), F.transform(x["word_offsets"], offset).alias("word_offsets"), x["reference"].alias("reference"), x["year"].alias("year"))
+    return lemmas.withColumn("senses", F.transform("senses", lambda s: s.withField("sentences", F.transform(s["sentences"], sentence))))
+
+
 def counts(df: DataFrame, key: Column) -> dict:
     """A histogram, by native key."""
     rows = df.groupBy(key.alias("k")).agg(F.count("*").alias("n")).where("k is not null").orderBy("k").collect()

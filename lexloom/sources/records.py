@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.decisions import FIELDS
 from ..operators.ordering import line_numbers, split_runs
-from ..schema import DECISION, LEMMA, SYNSET, TABLE
+from ..schema import DECISION, LEMMA, SPAN, SYNSET, TABLE
 from .files import json_lines, numbered_lines
 
 LEGACY = "array<struct<id:string,gloss:string,translations:map<string,array<string>>,languages:map<string,string>>>"
@@ -19,7 +19,8 @@ LEGACY = "array<struct<id:string,gloss:string,translations:map<string,array<stri
 
 def read_lemmas(spark: SparkSession, path: str) -> DataFrame:
     """Collected lemmas in file order; both layouts of translations are read."""
-    raw = json_lines(spark, path, LEMMA.replace(f"translation_tables array<{TABLE}>", "translation_tables string"))
+    stored = LEMMA.replace(f"translation_tables array<{TABLE}>", "translation_tables string").replace(SPAN, "struct<offset:array<int>,sources:array<string>>")
+    raw = json_lines(spark, path, stored)
     old = F.from_json("translation_tables", LEGACY)
     converted = F.transform(old, lambda t: F.struct(
         t["id"].alias("id"), t["gloss"].alias("gloss"),
@@ -29,6 +30,13 @@ def read_lemmas(spark: SparkSession, path: str) -> DataFrame:
     tables = F.when(F.col("translation_tables").rlike(r'"translations"\s*:\s*\{'), converted).otherwise(F.from_json("translation_tables", f"array<{TABLE}>"))
     empty = lambda c, kind: F.coalesce(F.col(c), F.array().cast(kind))
     kinds = dict(spark.createDataFrame([], LEMMA).dtypes)
+    span = lambda o: F.struct(F.get(o["offset"], F.lit(0)).alias("start"), F.get(o["offset"], F.lit(1)).alias("end"), o["sources"].alias("sources"))
+    sentence = lambda x: F.struct(x["text"].alias("text"), F.transform(x["word_offsets"], span).alias("word_offsets"), x["reference"].alias("reference"), x["year"].alias("year"))
+    text = lambda c: F.coalesce(c, F.array().cast("array<string>"))
+    sense = lambda s: F.struct(
+        s["id"].alias("id"), text(s["glosses"]).alias("glosses"), F.coalesce(s["etymology"], F.lit("")).alias("etymology"), text(s["synonyms"]).alias("synonyms"), text(s["tags"]).alias("tags"),
+        text(s["topics"]).alias("topics"), F.coalesce(F.transform(s["sentences"], sentence), F.filter(F.transform(F.array(F.lit(0)), lambda _: F.struct(F.lit("").alias("text"), F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"), F.array(F.lit("")).alias("sources"))).alias("word_offsets"), F.lit("").alias("reference"), F.lit(0).alias("year"))), lambda _: F.lit(False))).alias("sentences"), text(s["wikidata_ids"]).alias("wikidata_ids"))
+    raw = raw.withColumn("senses", F.transform("senses", sense).cast(kinds["senses"]))
     return raw.withColumn("translation_tables", F.coalesce(tables, F.array().cast(kinds["translation_tables"]))).withColumns({c: empty(c, kinds[c]) for c in ("variants", "senses")})
 
 
@@ -48,7 +56,7 @@ def read_synsets(spark: SparkSession, path: str) -> DataFrame:
 
 def read_decisions(spark: SparkSession, path: str) -> DataFrame:
     """Decision rows in file order. A wrong header, partly filled rows or split groups fail; no file gives no rows."""
-    if not Path(path).exists():
+    if not Path(path).is_file():
         return spark.createDataFrame([], f"ord long, {DECISION}")
     with open(path, encoding="utf-8") as file:
         if tuple(file.readline().rstrip("\r\n").split("\t")) != FIELDS:
