@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import native
+from ..functions import native, udfs
 from ..operators import decisions, filters, joins, merge, ordering, reports
+from . import align, collect
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -466,3 +467,72 @@ def source_agreement(t):
 def balanced_delimiters(t):
     shape = F.when(F.col("p_size") % 3 == 0, F.concat(F.lit("(["), "p_name", F.lit("])"))).when(F.col("p_size") % 3 == 1, F.concat(F.lit("(["), "p_name", F.lit(")]"))).otherwise(F.concat("p_name", F.lit("(")))
     return t.part.where(filters.balanced(shape)).select("p_partkey")
+
+
+# Without SQL: Python kernels and whole dataflows, which the tests hold against plain versions
+
+
+def raw_entries(t: Tables) -> DataFrame:
+    """Documents as raw entries: a headword a source, a sense a document, lines as examples, conversations as translations."""
+    example = lambda line: F.struct(line.alias("text"), F.lit(None).cast("string").alias("ref"), F.lit("example").alias("type"), F.lit(None).cast("array<array<int>>").alias("bold_text_offsets"))
+    none, words = F.array().cast("array<string>"), F.split("text", " ", 6)
+    sense = F.struct(
+        F.array(F.array_join(F.slice(words, 1, 5), " ")).alias("glosses"), F.array("lang").alias("tags"), none.alias("topics"), none.alias("wikidata"),
+        F.transform(F.slice(F.split("text", "\n", -1), 1, 3), example).alias("examples"), F.array().cast("array<struct<word:string>>").alias("alt_of"), F.array(F.struct(F.get(words, F.lit(1)).alias("word"))).alias("synonyms"),
+    )
+    translation = F.struct(F.get(words, F.lit(2)).alias("word"), F.col("lang").alias("lang_code"), F.upper("lang").alias("lang"), F.get(words, F.lit(0)).alias("sense"))
+    ordinal = F.struct(F.lit("").alias("file"), F.lit(0).cast("long").alias("block"), F.col("doc_id").alias("place"))
+    return t.documents.select(
+        ordinal.alias("ord"), F.get(words, F.lit(0)).alias("word"), F.when(F.col("doc_id") % 3 == 0, "name").otherwise("noun").alias("pos"), F.lit("en").alias("lang_code"), F.lit("1").alias("etymology_number"),
+        F.array().cast("array<struct<form:string,tags:array<string>>>").alias("forms"), F.array(translation).alias("translations"), F.array(sense).alias("senses"),
+    )
+
+
+@query()
+def sense_ids(t):
+    return t.part.select("p_partkey", udfs.sense_id("p_name", F.lit("noun"), F.lit("1"), F.array("p_type", "p_brand")).alias("sense_id"))
+
+
+@query()
+def token_similarity(t):
+    return t.part.select("p_partkey", udfs.similarity("p_name", "p_type").alias("similarity"))
+
+
+@query()
+def latexize(t):
+    return t.part.select("p_partkey", udfs.tex(F.concat(F.lit("x \u2208 \u211d, "), "p_name")).alias("tex"))
+
+
+@query()
+def templates(t):
+    markup = F.concat(F.lit("{{t|fr|"), "p_name", F.lit("|{{l|en|"), "p_brand", F.lit("}}}} and {{q|"), "p_type", F.lit("}}"))
+    return t.part.select("p_partkey", F.array_join(udfs.template_names(markup), "|").alias("names"))
+
+
+@query()
+def clean_translations(t):
+    found = udfs.clean_translation(F.lit("fr"), F.concat("p_name", F.lit(" m / "), "p_brand", F.lit(" f (dated)")))
+    return t.part.select("p_partkey", F.array_join(found["words"], "|").alias("words"))
+
+
+@query()
+def clean_glosses(t):
+    return lines(t).select("doc_id", "n", udfs.clean_gloss("line").alias("gloss"))
+
+
+@query()
+def plain_pages(t):
+    return t.pages.select("page_id", udfs.plain_text("html").alias("plain"))
+
+
+@query()
+def collect_lemmas(t):
+    found = collect.collect(raw_entries(t))
+    return found.select("id", "lemma", "pos", F.size("senses").alias("n_senses"), F.size("translation_tables").alias("n_tables"), F.to_json("senses").alias("senses"))
+
+
+@query()
+def align_stub(t):
+    lemmas = collect.collect(raw_entries(t))
+    cache = t.spark.createDataFrame([], align.DECISION)
+    return align.decide(align.translation_queries(lemmas), cache, "translations")
