@@ -289,11 +289,12 @@ def places(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]
     """Anchors found twice or more, and their distinct contexts: (h, ctx, n, n_contexts, doc_id, kid, at, lo, hi)."""
     k = max(length // K_SHARE, 1)
     found = table(anchors(docs, length, k), "anchors")
-    twice = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # Written first, so that the join deals both sides anew and can split a k-gram that very many texts share.
+    twice = table(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "twice")
     repeated = table(found.join(twice, "h"), "repeated")
     distinct = repeated.groupBy("h", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "kid", "at", "lo", "hi")).alias("one"))
     distinct = table(distinct.select("h", "ctx", "n", "one.*"), "contexts")
-    sizes = distinct.groupBy("h").agg(F.count("*").alias("n_contexts"))
+    sizes = table(distinct.groupBy("h").agg(F.count("*").alias("n_contexts")), "sizes")
     return repeated, distinct.join(sizes, "h")
 
 
