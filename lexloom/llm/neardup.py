@@ -3,13 +3,14 @@
 1. Documents become sets of distinct word shingles; equal sets are one class, with one signature.
 2. Signatures are banded; classes that share a band meet in a bucket.
 3. In a bucket, pairs of classes are compared by batches of signature components. After each batch a pair goes whose
-   posterior probability of reaching the threshold is under MISS / number of batches. Small buckets report every
-   surviving pair; larger ones a spanning forest of the most similar pairs, which is at most one pair a member.
-4. Reported pairs are verified on the full sets. Where a verified pair of a forest fails, the bucket reports again,
-   without failed pairs, with the components found so far and with four times as many pairs, until it has no pair left to report: a pair that is never
-   reported links two classes that are in one component already.
-5. A bucket of more than BUCKET classes is dealt out to parts by hash, anew in each round, and the PIVOTS classes with
-   the most links take part in each of them; rounds go on while they find links.
+   posterior probability of reaching the threshold is under MISS / number of batches. Of the surviving pairs a bucket
+   reports a spanning forest of the most similar, which is less than one pair a member: any other surviving pair is
+   joined by it too. The components of all forests are the candidate groups.
+4. In each candidate group all surviving classes are verified exactly on their full sets, against each other, until the
+   group is one component; what is reported is again a forest, of verified links.
+5. Buckets of more than BUCKET classes, and candidate groups of more than GROUP shingles, are dealt out to parts by
+   hash, and the PIVOTS classes with the most links (or least hash) take part in each of them; a dealt-out group is dealt
+   anew HOT_ROUNDS times, with the pivots that its links suggest.
 
 Nothing is collected but counts. Bands are sized for the threshold so that a pair at it misses all of them with a
 probability of at most 1e-4.
@@ -36,11 +37,12 @@ from .components import components
 
 SHINGLE = 5
 BATCHES, MISS = 7, 1e-3
-SMALL, BUCKET, PIVOTS = 12, 1024, 8
-HOT_ROUNDS = 3
+BUCKET, PIVOTS = 1024, 8
+#: Shingles that are verified in one place, but for a single larger pair, and rounds for groups with more.
+GROUP, HOT_ROUNDS = 2_000_000, 3
 
 
-def bands_for(threshold: float, miss: float = 1e-4, most: int = 168) -> tuple[int, int]:
+def bands_for(threshold: float, miss: float = 1e-4, most: int = 128) -> tuple[int, int]:
     """Rows and bands: the most selective ones that miss a pair at the threshold so rarely, with so many hashes at most."""
     for rows in range(12, 0, -1):
         bands = math.ceil(math.log(miss) / math.log(1 - threshold**rows))
@@ -90,44 +92,44 @@ def signature(hashes: np.ndarray, n: int) -> np.ndarray:
     for k in range(0, len(hashes), 2048):
         part = a[:, None] * hashes[None, k : k + 2048] + b[:, None]
         least = np.minimum(least, (part >> np.uint64(32)).min(axis=1).astype(np.uint32))
-    return least
+    return least.astype(np.uint16)  # the low bits: equal for others by chance once in 65,536
 
 
 def signatures(docs: DataFrame, n: int, size: int = SHINGLE) -> DataFrame:
     """Per document: key, doc_id, n_shingles, cid (128 bits of the set; null if empty), sig."""
     import xxhash
 
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.string()), ("n_shingles", pa.int64()), ("cid", pa.string()), ("sig", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.string()), ("n_shingles", pa.int64()), ("cid", pa.binary()), ("sig", pa.binary())])
 
     def run(batches):
         for batch in batches:
             out: dict[str, list] = {f.name: [] for f in schema}
             for doc_id, text, key in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found = shingles(text, size)
-                row = (doc_id, key, len(found), xxhash.xxh3_128_hexdigest(found.tobytes()) if len(found) else None, signature(found, n).tobytes() if len(found) else None)
+                row = (doc_id, key, len(found), xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None, signature(found, n).tobytes() if len(found) else None)
                 for column, value in zip(out.values(), row, strict=True):
                     column.append(value)
             yield out
 
-    return docs.mapInArrow(arrow_rows(run, schema), "doc_id long, key string, n_shingles long, cid string, sig binary")
+    return docs.mapInArrow(arrow_rows(run, schema), "doc_id long, key string, n_shingles long, cid binary, sig binary")
 
 
 def band_rows(classes: DataFrame, rows: int, bands: int) -> DataFrame:
     """(bucket, cid) of every band of every class."""
     import xxhash
 
-    schema = pa.schema([("bucket", pa.int64()), ("cid", pa.string())])
+    schema = pa.schema([("bucket", pa.int64()), ("cid", pa.binary())])
 
     def run(batches):
         for batch in batches:
             buckets, cids = [], []
             for cid, sig in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                width = 4 * rows
+                width = 2 * rows
                 buckets += [xxhash.xxh3_64_intdigest(sig[k * width : (k + 1) * width], seed=k) - 2**63 for k in range(bands)]
                 cids += [cid] * bands
             yield {"bucket": buckets, "cid": cids}
 
-    return classes.select("cid", "sig").mapInArrow(arrow_rows(run, schema), "bucket long, cid string")
+    return classes.select("cid", "sig").mapInArrow(arrow_rows(run, schema), "bucket long, cid binary")
 
 
 def least_matches(threshold: float, n: int, batches: int = BATCHES, miss: float = MISS) -> list[tuple[int, int]]:
@@ -168,111 +170,134 @@ def compare(sigs: np.ndarray, limits: list[tuple[int, int]]) -> np.ndarray:
     return np.where(alive, matches, np.int16(-1))
 
 
-def report(cids: list[str], roots: list[str], sigs: np.ndarray, failed: set[tuple[str, str]], limits: list[tuple[int, int]], turn: int) -> list[tuple[str, str]]:
-    """Pairs of a bucket to verify: all that survive in a small one, else a forest of the most similar.
-
-    From the second turn on the next most similar pairs come too, four times as many each turn, so that turns stay few.
-    """
-    found = compare(sigs, limits)
-    n = len(cids)
-    if n <= SMALL:
-        pairs = [(i, j) for i, j in np.argwhere(found >= 0).tolist() if i < j and roots[i] != roots[j]]
-        pairs = [(min(cids[i], cids[j]), max(cids[i], cids[j])) for i, j in pairs]
-        return [p for p in pairs if p not in failed]
-    place = {c: k for k, c in enumerate(cids)}
-    for a, b in failed:
-        if a in place and b in place:
-            found[place[a], place[b]] = found[place[b], place[a]] = -1
-    number = np.unique(roots, return_inverse=True)[1]
-    found[number[:, None] == number[None, :]] = 2**14  # linked already: free to walk along
+def forest(similar: np.ndarray) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of the most similar pairs; negative numbers are no edges (Prim's algorithm)."""
     out = []
-    if turn:
-        upper = np.triu(found, 1)
-        i, j = np.nonzero((upper > 0) & (upper < 2**14))
-        most = np.argsort(-upper[i, j], kind="stable")[: n * 4**turn]
-        out = [(min(cids[a], cids[b]), max(cids[a], cids[b])) for a, b in zip(i[most].tolist(), j[most].tolist(), strict=True)]
-    todo = np.ones(n, bool)
-    while todo.any():  # Prim's algorithm from each place that is not reached yet
-        start = int(np.flatnonzero(todo)[0])
+    todo = np.ones(len(similar), bool)
+    while todo.any():
+        start = int(todo.argmax())
         todo[start] = False
-        best, source = np.where(todo, found[start], -1), np.full(n, start)
+        best, source = np.where(todo, similar[start], -1), np.full(len(similar), start)
         while (at := int(best.argmax())) >= 0 and best[at] >= 0:
-            if best[at] < 2**14:
-                out.append((min(cids[at], cids[source[at]]), max(cids[at], cids[source[at]])))
+            out.append((at, int(source[at])))
             todo[at] = False
             best[at] = -1
-            nearer = todo & (found[at] > best)
-            best[nearer], source[nearer] = found[at][nearer], at
+            nearer = todo & (similar[at] > best)
+            best[nearer], source[nearer] = similar[at][nearer], at
+    return out
+
+
+def exact_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """A forest of the linked pairs of some sets: those with 100 * intersection >= percent * union."""
+    n = len(sets)
+    sizes = np.array([len(x) for x in sets])
+    words, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    shared = np.bincount(flat)
+    # Members that share the most go first: one that links with all the others ends the search.
+    order = np.argsort(-np.add.reduceat(shared[flat], starts) / sizes, kind="stable")
+    root = np.arange(n)
+    out = []
+    mark = np.zeros(len(words), bool)
+    for i in order.tolist():
+        others = root != root[i]
+        if not others.any():
+            break
+        own = flat[starts[i] : starts[i] + sizes[i]]
+        mark[own] = True
+        common = np.add.reduceat(mark[flat], starts, dtype=np.int64)
+        mark[own] = False
+        for j in np.flatnonzero(others & (100 * common >= percent * (sizes + sizes[i] - common))).tolist():
+            if root[j] != root[i]:
+                out.append((i, j))
+                root[root == root[j]] = root[i]
     return out
 
 
-def candidates(members: DataFrame, classes: DataFrame, roots: DataFrame | None, failed: DataFrame | None, limits: list[tuple[int, int]], turn: int = 0) -> DataFrame:
-    """(a, b, bucket) reported by every part of every bucket. members: (bucket, part, cid)."""
-    rows = members.join(classes.select("cid", "sig"), "cid")
-    rows = rows.join(roots, rows.cid == roots.node, "left").drop("node") if roots is not None else rows.withColumn("root", F.lit(None).cast("string"))
-    rows = rows.select("bucket", "part", "cid", F.coalesce("root", "cid").alias("root"), "sig", F.lit(None).cast("string").alias("other"))
-    if failed is not None:
-        parts = members.select("bucket", "part").distinct()
-        rows = rows.unionByName(failed.join(parts, "bucket").select("bucket", "part", F.col("a").alias("cid"), F.lit(None).cast("string").alias("root"), F.lit(None).cast("binary").alias("sig"), F.col("b").alias("other")))
-    schema = pa.schema([("a", pa.string()), ("b", pa.string()), ("bucket", pa.int64())])
+def by_part(rows: DataFrame, emit, batch: int = 20_000) -> DataFrame:
+    """Feed each part of each group, rows (group, part, cid, payload), to emit(cids, payloads) and gather (a, b)."""
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
-        now, held = None, []
-        out: list[tuple[str, str, int]] = []
+        now, held = None, {}
+        out: list[tuple[bytes, bytes]] = []
 
         def close() -> None:
-            own = {r[2]: r for r in held if r[5] is None}
-            if len(own) > 1 and len({r[3] for r in own.values()}) > 1:
-                sigs = np.stack([np.frombuffer(r[4], np.uint32) for r in own.values()])
-                bad = {(r[2], r[5]) for r in held if r[5] is not None}
-                out.extend((a, b, now[0]) for a, b in report(list(own), [r[3] for r in own.values()], sigs, bad, limits, turn))
+            if len(held) > 1:
+                cids = list(held)
+                out.extend((max(cids[i], cids[j]), min(cids[i], cids[j])) for i, j in emit(list(held.values())))
 
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row[:2] != now:
+        for part in batches:
+            for group, number, cid, payload in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                if (group, number) != now:
                     close()
-                    now, held = row[:2], []
-                held.append(row)
-            if len(out) > 20_000:
-                yield dict(zip(schema.names, map(list, zip(*out, strict=True)), strict=True))
+                    now, held = (group, number), {}
+                held[cid] = payload
+            if len(out) > batch:
+                yield {"a": [a for a, _ in out], "b": [b for _, b in out]}
                 out.clear()
         close()
         if out:
-            yield dict(zip(schema.names, map(list, zip(*out, strict=True)), strict=True))
+            yield {"a": [a for a, _ in out], "b": [b for _, b in out]}
 
-    # A part has BUCKET + PIVOTS members at most, so no task holds more than one part's signatures and pairs.
-    return rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part", "cid").mapInArrow(arrow_rows(run, schema), "a string, b string, bucket long")
+    dealt = rows.select("group", "part", "cid", "payload").repartition("group", "part").sortWithinPartitions("group", "part", "cid")
+    return dealt.mapInArrow(arrow_rows(run, schema), "a binary, b binary").distinct()
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked): pairs with 100 * intersection >= percent * union of the full sets."""
-    both = pairs.join(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("of_a")), "a").join(
-        sets.select(F.col("cid").alias("b"), F.col("shingles").alias("of_b")), "b"
-    )
-    schema = pa.schema([("a", pa.string()), ("b", pa.string()), ("linked", pa.bool_())])
+def deal(members: DataFrame, turn: int, links: DataFrame | None = None) -> DataFrame:
+    """(group, part, cid) of members (group, cid, parts): by hash, and each group's pivots in all its parts."""
+    part = F.pmod(F.xxhash64("cid", F.lit(turn)), F.col("parts"))
+    dealt = members.select("group", F.when(F.col("parts") > 1, part).otherwise(F.lit(0)).cast("long").alias("part"), "cid")
+    hot = members.where("parts > 1").withColumn("degree", F.lit(0))
+    if links is not None:
+        degree = links.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").agg(F.count("*").alias("degree"))
+        hot = hot.drop("degree").join(degree, "cid", "left")
+    first = Window.partitionBy("group").orderBy(F.desc_nulls_last("degree"), F.xxhash64("cid"))
+    pivots = hot.withColumn("at", F.row_number().over(first)).where(f"at <= {PIVOTS}")
+    every = pivots.select("group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "cid")
+    return dealt.unionByName(every)
 
-    def run(batches):
-        for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield {"a": batch.column(0), "b": batch.column(1), "linked": linked}
 
-    return both.select("a", "b", "of_a", "of_b").mapInArrow(arrow_rows(run, schema), "a string, b string, linked boolean")
+def candidate_groups(members: DataFrame, sigs: DataFrame, limits: list[tuple[int, int]]) -> DataFrame:
+    """(cid, group): the components of what the buckets report. members: (group, cid, parts) by bucket."""
+    rows = deal(members, 0).join(sigs, "cid").withColumnRenamed("sig", "payload")
+
+    def emit(payloads: list[bytes]) -> list[tuple[int, int]]:
+        return forest(compare(np.stack([np.frombuffer(x, np.uint16) for x in payloads]), limits))
+
+    return components(by_part(rows, emit)).select(F.col("node").alias("cid"), F.col("root").alias("group"))
+
+
+def verified_links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): a forest of the exact links of each group. sets: (cid, n, shingles)."""
+    sized = table(groups.join(sets.select("cid", "n"), "cid"), "sized")
+    parts = sized.groupBy("group").agg(F.ceil(F.sum("n") / GROUP).cast("long").alias("parts"))
+    members = table(sized.join(parts, "group").select("group", "cid", "parts"), "groups")
+
+    def emit(payloads: list[bytes]) -> list[tuple[int, int]]:
+        return exact_links([np.frombuffer(x, np.uint64) for x in payloads], percent)
+
+    links: DataFrame | None = None
+    for turn in range(HOT_ROUNDS):
+        rows = deal(members if turn == 0 else members.where("parts > 1"), turn, links)
+        found = table(by_part(rows.join(sets.select("cid", F.col("shingles").alias("payload")), "cid"), emit), "links")
+        links = found if links is None else links.unionByName(found)
+        if not members.where("parts > 1").limit(1).count():
+            break
+    return links
 
 
 def full_sets(docs: DataFrame, classes: DataFrame, cids: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(cid, shingles): the full set of each class, from the text of one of its documents."""
+    """(cid, n, shingles): the full set of each class, from the text of one of its documents."""
     wanted = classes.join(cids, "cid", "left_semi").select("cid", "key")
-    schema = pa.schema([("cid", pa.string()), ("shingles", pa.binary())])
+    schema = pa.schema([("cid", pa.binary()), ("n", pa.int64()), ("shingles", pa.binary())])
 
     def run(batches):
         for batch in batches:
-            yield {"cid": batch.column(0), "shingles": [shingles(t, size).tobytes() for t in batch.column(1).to_pylist()]}
+            found = [shingles(t, size) for t in batch.column(1).to_pylist()]
+            yield {"cid": batch.column(0), "n": [len(x) for x in found], "shingles": [x.tobytes() for x in found]}
 
-    return docs.join(wanted, "key").dropDuplicates(["key"]).select("cid", "text").mapInArrow(arrow_rows(run, schema), "cid string, shingles binary")
+    return docs.select("key", "text").join(wanted, "key").select("cid", "text").mapInArrow(arrow_rows(run, schema), "cid binary, n long, shingles binary").dropDuplicates(["cid"])
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
@@ -281,61 +306,21 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     limits = least_matches(percent / 100, rows * bands)
     docs = keyed(docs, id_col, text_col)
     sigs = table(signatures(docs, rows * bands, size), "signatures")
-    classes = table(
-        sigs.where("cid is not null").groupBy("cid").agg(F.min(F.struct("doc_id", "key")).alias("least"), F.min("doc_id").alias("id"), F.min("sig").alias("sig"))
-        .select("cid", "id", "least.key", "sig"), "classes"
-    )
-    banded = table(band_rows(classes, rows, bands), "bands")
-    counts = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = table(banded.join(counts, "bucket"), "members")
-    sets = table(full_sets(docs, classes, members.select("cid").distinct(), size), "sets")
-    links: DataFrame | None = None
-    roots: DataFrame | None = None
-    failed: DataFrame | None = None
-    done: DataFrame | None = None
-    active = members
-    for turn in range(1_000_000):
-        hot = F.col("n") > BUCKET
-        parts = F.when(hot, F.pmod(F.xxhash64("cid", F.lit(turn)), F.ceil(F.col("n") / BUCKET))).otherwise(F.lit(0)).cast("long")
-        dealt = active.withColumn("part", parts)
-        busiest = active.where(hot)
-        if links is not None:
-            degree = links.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").agg(F.count("*").alias("degree"))
-            busiest = busiest.join(degree, "cid", "left")
-        else:
-            busiest = busiest.withColumn("degree", F.lit(0))
-        first = Window.partitionBy("bucket").orderBy(F.desc_nulls_last("degree"), "cid")
-        pivots = busiest.withColumn("at", F.row_number().over(first)).where(f"at <= {PIVOTS}")
-        pivots = pivots.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), (F.ceil(F.col("n") / BUCKET) - 1).cast("long"))))
-        dealt = dealt.select("bucket", "part", "cid").unionByName(pivots.select("bucket", "part", "cid")).distinct()
-        found = table(candidates(dealt, classes, roots, failed, limits, turn), "candidates")
-        fresh = found.select("a", "b").distinct()
-        if done is not None:
-            fresh = fresh.join(done, ["a", "b"], "left_anti")
-        checked = table(verified(fresh, sets, percent), "verified")
-        n_new, n_linked = checked.select(F.count("*"), F.coalesce(F.sum(F.col("linked").cast("long")), F.lit(0))).first()
-        linked = checked.where("linked").select("a", "b")
-        links = linked if links is None else links.unionByName(linked)
-        done = checked.select("a", "b") if done is None else done.unionByName(checked.select("a", "b"))
-        # Buckets that reported a pair which failed, or that were dealt out, may hold another pair.
-        bad = found.join(checked.where("not linked"), ["a", "b"], "left_semi")
-        failed = bad if failed is None else failed.unionByName(bad)
-        again = F.col("n") > SMALL
-        if n_new == n_linked and not active.where(hot).limit(1).count():
-            break
-        if turn >= HOT_ROUNDS and not n_linked and n_new == 0:
-            break
-        reach = active.where(again & ~hot).join(bad.select("bucket").distinct(), "bucket", "left_semi")
-        if turn < HOT_ROUNDS or n_linked:
-            reach = reach.unionByName(active.where(hot))
-        active = table(reach, "members")
-        if not active.limit(1).count():
-            break
-        roots = components(links)
-    roots = components(links)
-    grouped = classes.join(roots, classes.cid == roots.node).select("cid", "root", "id")
-    least = grouped.groupBy("root").agg(F.min("id").alias("component_id"))
-    joined = grouped.join(least, "root").select("cid", "component_id")
+    filled = sigs.where("cid is not null")
+    classes = table(filled.groupBy("cid").agg(F.min(F.struct("doc_id", "key")).alias("least"), F.min("doc_id").alias("id")).select("cid", "id", "least.key"), "classes")
+    # Buckets with two classes or more: the bands are worked out twice rather than stored.
+    banded = band_rows(filled, rows, bands)
+    mark = F.xxhash64("cid")
+    several = banded.groupBy("bucket").agg(F.min(mark).alias("low"), F.max(mark).alias("high")).where("low < high").select("bucket")
+    met = table(banded.join(table(several, "buckets"), "bucket").distinct(), "met")
+    sizes = met.groupBy("bucket").agg(F.ceil(F.count("*") / BUCKET).cast("long").alias("parts"))
+    members = met.join(table(sizes, "sizes"), "bucket").select(F.col("bucket").alias("group"), "cid", "parts")
+    near = table(filled.join(classes.join(met.select("cid").distinct(), "cid", "left_semi").select("key"), "key", "left_semi").select("cid", "sig").dropDuplicates(["cid"]), "near")
+    groups = table(candidate_groups(members, near, limits), "candidates")
+    sets = table(full_sets(docs, classes, groups.select("cid"), size), "sets")
+    roots = components(verified_links(groups, sets, percent))
+    grouped = classes.select("cid", "id").join(roots, classes.cid == roots.node).select("cid", "root", "id")
+    joined = grouped.join(grouped.groupBy("root").agg(F.min("id").alias("component_id")), "root").select("cid", "component_id")
     alone = classes.select("cid", F.col("id").alias("class_id"))
     component = table(alone.join(joined, "cid", "left").select("cid", F.coalesce("component_id", "class_id").alias("component_id")), "components")
     return sigs.select("doc_id", "key", "n_shingles", "cid").join(component, "cid", "left").select(
