@@ -21,7 +21,7 @@ COMMANDS = frozenset(SYMBOLS.values()) | GROUPED | frozenset(GREEK.split()) | fr
 )
 
 _SCRIPTS = re.compile("[⁰-⁾²³¹]+|[₀-₎]+")
-_OPERATOR = re.compile(r"[=<>+×÷−]|\\(?:in|notin|leq|geq|neq|approx|equiv|subseteq?|cup|cap|to|forall|exists)\b")
+_OPERATOR = re.compile(r"[=<>+×÷]|\\(?:in|notin|leq|geq|neq|approx|equiv|subseteq?|cup|cap|to|forall|exists)\b")
 _SPACED_COMMAND = re.compile(r"(\\[A-Za-z]+)(?=[A-Za-z])")
 
 

@@ -10,7 +10,7 @@ from .formatting import is_damaged, is_literal, plain, statement
 from .references import METADATA, NAVIGATION, drop_references
 
 I = re.IGNORECASE  # noqa: E741
-EM = " "
+EM = "\u2003"
 
 _YEAR = re.compile(r"\b(1[0-9]{3}|20[0-9]{2})(?:s)?\b")
 _INLINE = re.compile(r"^([^\n:]*\b(?:1[0-9]{3}|20[0-9]{2})\b[^\n]*?)\s*:\s*([\"“‘][^\n]+)$")

@@ -78,7 +78,8 @@ def archive_lines(path: str | Path, name: str) -> Iterator[str]:
     with open_any(path) as raw, tarfile.open(fileobj=raw, mode="r|") as archive:
         for member in archive:
             if member.isfile() and Path(member.name).name == name:
-                yield from io.TextIOWrapper(archive.extractfile(member), "utf-8")
+                for line in archive.extractfile(member):
+                    yield line.decode("utf-8")
                 return
     raise FileNotFoundError(f"{path} has no {name}")
 
