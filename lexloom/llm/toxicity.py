@@ -55,7 +55,7 @@ WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 #: How many words a negation reaches.
 SCOPE = 3
 #: Weights without training: intercept, then one per evidence column.
-PRIOR = (-3.0, 0.8, 0.8, 0.2, -0.4, -0.4, 0.0, 1.0)
+PRIOR = (-3.0, 0.8, 0.8, 0.2, 0.1, 0.1, 0.0, 0.3)
 EVIDENCE = ("insult", "threat", "targeted", "negated", "reported", "largest", "spread")
 
 
