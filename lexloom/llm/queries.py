@@ -81,6 +81,24 @@ SQL = {
         JOIN (SELECT conv_id, string_agg(shown, '' ORDER BY n) AS rendered FROM said GROUP BY conv_id) r USING (conv_id)
         WHERE w.prefix NOT IN (SELECT prefix FROM prefixes WHERE n < n_turns)
     """,
+    "op8_neardup": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+            FROM words
+        ), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), links AS (
+            SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL) p
+            JOIN sizes u ON u.doc_id = p.a JOIN sizes v ON v.doc_id = p.b WHERE 100 * p.c >= 85 * (u.n + v.n - p.c)
+        ), reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM words UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+        ), least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, l.component_id, d.doc_id = l.component_id AS kept
+        FROM documents d JOIN least l USING (doc_id) LEFT JOIN sizes z USING (doc_id)
+    """,
     "op10_warc": """
         WITH p AS (
             SELECT page_id, coalesce(strlen(html), 0) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
