@@ -11,10 +11,12 @@ columns are ignored; an empty table gives no pieces.
 
 from __future__ import annotations
 
+import array
 import bisect
 import functools
 import json
 import os
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -35,6 +37,11 @@ END_ID = 1
 MEMO = 1_000_000
 #: Partition numbers stand above this bit of a sequence's id.
 SHIFT = 40
+#: White space for Python's split but not for the tokenizer.
+BLANK_FOR_PYTHON = re.compile("[\x1c-\x1f]")
+#: The letters that byte-level tokenizers write bytes as: visible Latin-1 characters stand for themselves.
+VISIBLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+BYTE_LETTERS = {b: 0x100 + n for n, b in enumerate(b for b in range(256) if b not in VISIBLE)}
 PIECE = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
@@ -65,20 +72,28 @@ class WordCodec:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if len(self.memo) > MEMO:
             self.memo.clear()
-        odd = {t: b"" for t in texts if any(c in t for c in "\x1c\x1d\x1e\x1f")}  # blanks for Python alone
-        for t in odd:
-            odd[t] = np.array(self.whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
-        new: set[str] = set()
-        for t in texts:
-            if t not in odd:
-                new.update(set(self.split(t)).difference(self.memo))
-        fresh = list(new)
+        memo = self.memo
+        cut = [None if BLANK_FOR_PYTHON.search(t) else self.split(t) for t in texts]
+        new = {w for words in cut if words for w in words if w not in memo}
+        # A word of letters and its closing mark are separate pieces, so that the word is encoded once for both.
+        marked = [w for w in new if w[-1] in ".," and w[:-1].isalpha()]
+        wanted = (new.difference(marked) | {w[:-1] for w in marked} | {w[-1] for w in marked}).difference(memo)
+        plain = [w for w in wanted if w.isalpha()]
+        tokenize = self.words.model.tokenize
+        for word in plain:  # one piece: the model reads it directly, its bytes written as the byte-level step does
+            memo[word] = array.array("I", [t.id for t in tokenize(word.encode().decode("latin-1").translate(BYTE_LETTERS))]).tobytes()
+        fresh = list(wanted.difference(plain))
         for k in range(0, len(fresh), 2000):
             part = fresh[k : k + 2000]
-            for word, e in zip(part, self.words.encode_batch(part, add_special_tokens=False), strict=True):
-                self.memo[word] = np.array(e.ids, "<u4").tobytes()
-        look = self.memo.__getitem__
-        return [odd[t] if t in odd else b"".join(map(look, self.split(t))) for t in texts]
+            for word, e in zip(part, self.words.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                memo[word] = np.array(e.ids, "<u4").tobytes()
+        for w in marked:
+            memo[w] = memo[w[:-1]] + memo[w[-1]]
+        look = memo.__getitem__
+        return [
+            np.array(self.whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if words is None else b"".join(map(look, words))
+            for t, words in zip(texts, cut, strict=True)
+        ]
 
 
 @functools.lru_cache(maxsize=2)
