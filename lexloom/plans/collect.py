@@ -77,6 +77,11 @@ def merge_senses(senses: DataFrame) -> DataFrame:
     return grouped.select("lemma_id", F.get("all", F.lit(0))["o"].alias("o"), made.alias("s"))
 
 
+def reused(df: DataFrame) -> DataFrame:
+    """A frame that several branches read, kept: in the shared checkpoint folder if there is one, else by executors."""
+    return df.checkpoint() if df.sparkSession.conf.get("spark.checkpoint.dir", None) else df.persist()
+
+
 def ancestors(entry: DataFrame, wikidata: DataFrame) -> DataFrame:
     """(lemma_id, o, s): a sense without evidence for each inner level that has ids, before the first sense below it."""
     chains = entry.select("lemma_id", "lemma", "tag", "ord", F.posexplode("built").alias("at", "s")).where(F.size("s.glosses") > 1)
@@ -106,7 +111,8 @@ def collect(
     with_markup = wanted.join(markup.select(F.col("title").alias("lemma"), "formulas"), "lemma", "left") if markup is not None else wanted.withColumn("formulas", F.lit(None).cast("array<struct<rendered:string,source:string,prefix:string,suffix:string>>"))
     built = with_markup.withColumn("built", udfs.builder(min_year, max_year)("lemma", "tag", "etymology_number", "senses", "formulas")).where(F.size("built") > 0)
     forms = filters.service_forms(F.coalesce("forms", F.array().cast("array<struct<form:string,tags:array<string>>>")), F.col("lemma"))
-    entry = built.select("lemma_id", "lemma", "tag", "ord", "built", forms.alias("own_forms"), "translations")
+    # Four branches read the built entries; without this each would clean all texts again.
+    entry = reused(built.select("lemma_id", "lemma", "tag", "ord", "built", forms.alias("own_forms"), "translations"))
     senses = entry.select("lemma_id", F.posexplode("built").alias("at", "s"), "ord").select("lemma_id", F.struct("ord", "at", F.lit(LEAF).alias("depth")).alias("o"), "s")
     if wikidata is not None:
         senses = senses.unionByName(ancestors(entry, wikidata))
