@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Python objects of so many rows are alive at once in a worker, whatever the size of Arrow's batches.
+ROWS = 512
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -41,10 +45,15 @@ def table(df: DataFrame, name: str) -> DataFrame:
 def arrow_rows(
     fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict[str, list]]], schema: pa.Schema
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Turn a generator of column dictionaries into what mapInArrow takes."""
+    """Turn a generator of column dictionaries into what mapInArrow takes; it is fed ROWS rows at a time."""
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS):
+                yield batch.slice(start, ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in fn(batches):
+        for columns in fn(sliced(batches)):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[f.name], f.type) for f in schema], schema=schema
             )
