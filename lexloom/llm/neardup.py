@@ -10,7 +10,8 @@
    group is one component; what is reported is again a forest, of verified links.
 5. Buckets of more than BUCKET classes, and candidate groups of more than GROUP shingles, are dealt out to parts by
    hash, and the PIVOTS classes with the most links (or least hash) take part in each of them; a dealt-out group is dealt
-   anew HOT_ROUNDS times, with the pivots that its links suggest.
+   anew HOT_ROUNDS times, with the pivots that its links suggest. Whatever these links have not joined in such a group is
+   then verified in blocks of two parts, which cover every pair.
 
 Nothing is collected but counts. Bands are sized for the threshold so that a pair at it misses all of them with a
 probability of at most 1e-4.
@@ -38,7 +39,7 @@ from .components import components
 SHINGLE = 5
 BATCHES, MISS = 7, 1e-3
 BUCKET, PIVOTS = 1024, 8
-#: Shingles that are verified in one place, but for a single larger pair, and rounds for groups with more.
+#: Shingles that are verified in one place, but for a single larger pair, and rounds by pivots for groups with more.
 GROUP, HOT_ROUNDS = 2_000_000, 3
 
 
@@ -214,6 +215,44 @@ def exact_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return out
 
 
+def cross_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, root: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """A forest of the linked pairs of a left and a right set whose roots differ; left, right and root are by set.
+
+    Linked sets share one of their 100 - percent % rarest words at least (whatever is taken as their order, if it is the
+    same for both), so only those that do are counted out.
+    """
+    sizes = np.array([len(x) for x in sets])
+    ends = np.cumsum(sizes)
+    _, flat, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(count), np.int64)
+    rank[np.argsort(count, kind="stable")] = np.arange(len(count))
+    ranked = rank[flat]
+    words = [np.sort(ranked[end - n : end]) for n, end in zip(sizes, ends, strict=True)]
+    prefix = [x[: len(x) + (-percent * len(x)) // 100 + 1] for x in words]
+    at = np.flatnonzero(right)
+    if not left.any() or not len(at):
+        return []
+    entries = np.concatenate([prefix[j] for j in at])
+    order = np.argsort(entries, kind="stable")
+    entries, holders = entries[order], np.repeat(at, [len(prefix[j]) for j in at])[order]
+    root = root.copy()
+    out = []
+    mark = np.zeros(len(count), bool)
+    for i in np.flatnonzero(left).tolist():
+        low, high = np.searchsorted(entries, prefix[i], "left"), np.searchsorted(entries, prefix[i], "right")
+        near = np.unique(np.concatenate([holders[a:b] for a, b in zip(low, high, strict=True) if a < b] or [at[:0]]))
+        near = near[(root[near] != root[i]) & (100 * np.minimum(sizes[near], sizes[i]) >= percent * np.maximum(sizes[near], sizes[i]))]
+        mark[words[i]] = True
+        for j in near.tolist():
+            if root[j] != root[i]:
+                common = int(np.count_nonzero(mark[words[j]]))
+                if 100 * common >= percent * (sizes[i] + sizes[j] - common):
+                    out.append((i, j))
+                    root[root == root[j]] = root[i]
+        mark[words[i]] = False
+    return out
+
+
 def by_part(rows: DataFrame, emit, batch: int = 20_000) -> DataFrame:
     """Feed each part of each group, rows (group, part, cid, payload), to emit(cids, payloads) and gather (a, b)."""
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
@@ -258,6 +297,32 @@ def deal(members: DataFrame, turn: int, links: DataFrame | None = None) -> DataF
     return dealt.unionByName(every)
 
 
+def blocks(members: DataFrame, links: DataFrame, weight: int) -> DataFrame:
+    """(group, part, cid, home, root): all pairs of members that the links leave apart, in blocks of two parts each.
+
+    members: (group, cid, n); a part, home, holds an n of about weight in all. Pairs within the largest component of a group
+    are joined already, so its members have parts of their own, and every block has at least one part of other members.
+    """
+    rooted = table(members.join(components(links), F.col("cid") == F.col("node"), "left").select("group", "cid", "n", F.coalesce("root", "cid").alias("root")), "rooted")
+    sums = rooted.groupBy("group", "root").agg(F.sum("n").alias("n"))
+    most = sums.groupBy("group").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all"))
+    shape = most.select("group", F.col("top.root").alias("main"), F.ceil((F.col("all") - F.col("top.n")) / weight).cast("long").alias("others"), F.ceil(F.col("top.n") / weight).cast("long").alias("rest"))
+    shape = table(shape.where("others > 0"), "shape")
+    is_main = F.col("root") == F.col("main")
+    homes = rooted.join(shape, "group").select(
+        "group", "cid", "root", "others", (F.col("others") + F.col("rest")).alias("all"), is_main.alias("main"),
+        F.when(is_main, F.col("others") + F.pmod(F.xxhash64("cid", "group"), F.col("rest"))).otherwise(F.pmod(F.xxhash64("cid", "group"), F.col("others"))).alias("home"),
+    )
+    met = homes.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.when(F.col("main"), F.col("others")).otherwise(F.col("all")) - 1)))
+    return met.select("group", (F.least("home", "with") * F.col("all") + F.greatest("home", "with")).alias("part"), "cid", "home", "root")
+
+
+def sides(members: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a block's members: which are on its left and on its right, and numbers for their roots."""
+    home = np.array([x["home"] for x in members])
+    return home == home.min(), home == home.max(), np.unique([x["root"].hex() for x in members], return_inverse=True)[1]
+
+
 def candidate_groups(members: DataFrame, sigs: DataFrame, limits: list[tuple[int, int]]) -> DataFrame:
     """(cid, group): the components of what the buckets report. members: (group, cid, parts) by bucket."""
     rows = deal(members, 0).join(sigs, "cid").withColumnRenamed("sig", "payload")
@@ -282,9 +347,17 @@ def verified_links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFram
         rows = deal(members if turn == 0 else members.where("parts > 1"), turn, links)
         found = table(by_part(rows.join(sets.select("cid", F.col("shingles").alias("payload")), "cid"), emit), "links")
         links = found if links is None else links.unionByName(found)
-        if not members.where("parts > 1").limit(1).count():
-            break
-    return links
+        if turn == 0 and not members.where("parts > 1").limit(1).count():
+            return links
+    hot = sized.join(members.where("parts > 1"), ["group", "cid"], "left_semi").select("group", "cid", "n")
+    met = blocks(hot, links, GROUP // 2).join(sets.select("cid", "shingles"), "cid")
+
+    def across(payloads: list[dict]) -> list[tuple[int, int]]:
+        left, right, root = sides(payloads)
+        return cross_links([np.frombuffer(x["shingles"], np.uint64) for x in payloads], left, right, root, percent)
+
+    rows = met.select("group", "part", "cid", F.struct("home", "root", "shingles").alias("payload"))
+    return links.unionByName(table(by_part(rows, across), "links"))
 
 
 def full_sets(docs: DataFrame, classes: DataFrame, cids: DataFrame, size: int = SHINGLE) -> DataFrame:

@@ -172,6 +172,21 @@ def test_near_duplicates_match_brute_force(spark, mixed, percent, small, monkeyp
     assert sorted(r.doc_id for r in kept.collect()) == sorted({*brute_groups(rows, percent).values()})
 
 
+def test_large_groups_are_verified_in_full(spark, monkeypatch):
+    """A family around a template, 0.74 alike, in which 40 pairs are 0.9 alike: its parts are many, so few of these meet by chance."""
+    monkeypatch.setattr(neardup, "GROUP", 1000)
+    random_ = np.random.Generator(np.random.PCG64(8))
+    template = random_.integers(0, 2**63, 85, np.uint64)
+    sets = [np.unique(np.concatenate([template, random_.integers(0, 2**63, 15, np.uint64)])) for _ in range(300)]
+    for k in range(40):
+        sets[k + 40] = np.unique(np.concatenate([np.setdiff1d(sets[k], template)[3:], template, random_.integers(0, 2**63, 3, np.uint64)]))
+    cids = [b"%016d" % k for k in range(300)]
+    groups = spark.createDataFrame([(c, b"g") for c in cids], "cid binary, group binary").repartition(3)
+    full = spark.createDataFrame([(c, len(x), x.tobytes()) for c, x in zip(cids, sets, strict=True)], "cid binary, n long, shingles binary")
+    found = {(bytes(r.a), bytes(r.b)) for r in neardup.verified_links(groups, full, 85).collect()}
+    assert found == {(cids[k + 40], cids[k]) for k in range(40)}
+
+
 def brute_cut(rows, length):
     seen = collections.Counter(t[k : k + length] for _, t in rows for k in range(len(t) - length + 1))
     out = {}
