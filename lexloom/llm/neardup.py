@@ -10,8 +10,8 @@
    group is one component; what is reported is again a forest, of verified links.
 5. Buckets of more than BUCKET classes, and candidate groups of more than GROUP shingles, are dealt out to parts by
    hash, and the PIVOTS classes with the most links (or least hash) take part in each of them; a dealt-out group is dealt
-   anew HOT_ROUNDS times, with the pivots that its links suggest. Whatever these links have not joined in such a group is
-   then verified in blocks of two parts, which cover every pair.
+   anew HOT_ROUNDS times, with the pivots that its links suggest. Whatever these links have not joined in such a bucket or
+   group is then compared, or verified, in blocks of two parts, which cover every pair.
 
 Nothing is collected but counts. Bands are sized for the threshold so that a pair at it misses all of them with a
 probability of at most 1e-4.
@@ -152,18 +152,18 @@ def least_matches(threshold: float, n: int, batches: int = BATCHES, miss: float
     return out
 
 
-def compare(sigs: np.ndarray, limits: list[tuple[int, int]]) -> np.ndarray:
-    """Matches of all pairs of rows, -1 where a batch has ruled a pair out."""
-    n = len(sigs)
-    matches = np.zeros((n, n), np.int16)
-    alive = ~np.eye(n, dtype=bool)
+def compare(sigs: np.ndarray, limits: list[tuple[int, int]], others: np.ndarray | None = None) -> np.ndarray:
+    """Matches of all pairs of rows, or of rows with others, -1 where a batch has ruled a pair out."""
+    alive = ~np.eye(len(sigs), dtype=bool) if others is None else np.ones((len(sigs), len(others)), bool)
+    others = sigs if others is None else others
+    matches = np.zeros(alive.shape, np.int16)
     before = 0
     for seen, fewest in limits:
-        if n <= 64:
-            matches += (sigs[:, None, before:seen] == sigs[None, :, before:seen]).sum(axis=2, dtype=np.int16)
+        if max(alive.shape) <= 64:
+            matches += (sigs[:, None, before:seen] == others[None, :, before:seen]).sum(axis=2, dtype=np.int16)
         else:
             for k in range(before, seen):
-                matches += sigs[:, k, None] == sigs[None, :, k]
+                matches += sigs[:, k, None] == others[None, :, k]
         before = seen
         alive &= matches >= fewest
         if not alive.any():
@@ -188,6 +188,14 @@ def forest(similar: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def joins(similar: np.ndarray, roots: np.ndarray, others: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs (row, column) that join the roots of rows with those of columns, one for each two roots at most; negative numbers are no pairs."""
+    rows, columns = np.nonzero((similar >= 0) & (roots[:, None] != others[None, :]))
+    a, b = roots[rows].astype(np.int64), others[columns].astype(np.int64)
+    _, first = np.unique(np.minimum(a, b) << 32 | np.maximum(a, b), return_index=True)
+    return [(int(rows[k]), int(columns[k])) for k in first]
+
+
 def exact_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """A forest of the linked pairs of some sets: those with 100 * intersection >= percent * union."""
     n = len(sets)
@@ -285,7 +293,7 @@ def by_part(rows: DataFrame, emit, batch: int = 20_000) -> DataFrame:
 
 def deal(members: DataFrame, turn: int, links: DataFrame | None = None) -> DataFrame:
     """(group, part, cid) of members (group, cid, parts): by hash, and each group's pivots in all its parts."""
-    part = F.pmod(F.xxhash64("cid", F.lit(turn)), F.col("parts"))
+    part = F.pmod(F.xxhash64("cid", "group", F.lit(turn)), F.col("parts"))
     dealt = members.select("group", F.when(F.col("parts") > 1, part).otherwise(F.lit(0)).cast("long").alias("part"), "cid")
     hot = members.where("parts > 1").withColumn("degree", F.lit(0))
     if links is not None:
@@ -330,7 +338,20 @@ def candidate_groups(members: DataFrame, sigs: DataFrame, limits: list[tuple[int
     def emit(payloads: list[bytes]) -> list[tuple[int, int]]:
         return forest(compare(np.stack([np.frombuffer(x, np.uint16) for x in payloads]), limits))
 
-    return components(by_part(rows, emit)).select(F.col("node").alias("cid"), F.col("root").alias("group"))
+    found = by_part(rows, emit)
+    hot = table(members.where("parts > 1").select("group", "cid", F.lit(1).cast("long").alias("n")), "hot")
+    if hot.limit(1).count():
+        found = table(found, "near-links")
+
+        def across(payloads: list[dict]) -> list[tuple[int, int]]:
+            left, right, root = sides(payloads)
+            sigs = np.stack([np.frombuffer(x["sig"], np.uint16) for x in payloads])
+            i, j = np.flatnonzero(left), np.flatnonzero(right)
+            return [(int(i[a]), int(j[b])) for a, b in joins(compare(sigs[i], limits, sigs[j]), root[i], root[j])]
+
+        met = blocks(hot, found, BUCKET).join(sigs, "cid")
+        found = found.unionByName(by_part(met.select("group", "part", "cid", F.struct("home", "root", "sig").alias("payload")), across))
+    return components(found).select(F.col("node").alias("cid"), F.col("root").alias("group"))
 
 
 def verified_links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

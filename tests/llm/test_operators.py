@@ -187,6 +187,23 @@ def test_large_groups_are_verified_in_full(spark, monkeypatch):
     assert found == {(cids[k + 40], cids[k]) for k in range(40)}
 
 
+def test_large_buckets_are_compared_in_full(spark, monkeypatch):
+    """Signatures of one bucket and many parts that share half of their components, and 40 pairs that share nearly all."""
+    monkeypatch.setattr(neardup, "BUCKET", 8)
+    random_ = np.random.Generator(np.random.PCG64(9))
+    template = random_.integers(0, 2**16, 120, np.uint16)
+    sigs = np.where(random_.random((240, 120)) < 0.5, template, random_.integers(0, 2**16, (240, 120), np.uint16))
+    sigs[40:80] = sigs[:40]
+    sigs[40:80, ::12] += np.uint16(1)
+    cids = [b"%016d" % k for k in range(240)]
+    members = spark.createDataFrame([(5, c, 30) for c in cids], "group long, cid binary, parts long").repartition(3)
+    known = spark.createDataFrame([(c, x.tobytes()) for c, x in zip(cids, sigs, strict=True)], "cid binary, sig binary")
+    groups = collections.defaultdict(set)
+    for r in neardup.candidate_groups(members, known, neardup.least_matches(0.85, 120)).collect():
+        groups[bytes(r.group)].add(bytes(r.cid))
+    assert {frozenset(x) for x in groups.values()} == {frozenset((cids[k], cids[k + 40])) for k in range(40)}
+
+
 def brute_cut(rows, length):
     seen = collections.Counter(t[k : k + length] for _, t in rows for k in range(len(t) - length + 1))
     out = {}
