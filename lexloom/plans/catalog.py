@@ -473,12 +473,12 @@ def balanced_delimiters(t):
 
 
 def raw_entries(t: Tables) -> DataFrame:
-    """Documents as raw entries: a headword a source, a sense a document, lines as examples, conversations as translations."""
+    """Documents as raw entries: the first word is headword, a sense a document with its text as gloss, all lines as examples."""
     example = lambda line: F.struct(line.alias("text"), F.lit(None).cast("string").alias("ref"), F.lit("example").alias("type"), F.lit(None).cast("array<array<int>>").alias("bold_text_offsets"))
     none, words = F.array().cast("array<string>"), F.split("text", " ", 6)
     sense = F.struct(
-        F.array(F.array_join(F.slice(words, 1, 5), " ")).alias("glosses"), F.array("lang").alias("tags"), none.alias("topics"), none.alias("wikidata"),
-        F.transform(F.slice(F.split("text", "\n", -1), 1, 3), example).alias("examples"), F.array().cast("array<struct<word:string>>").alias("alt_of"), F.array(F.struct(F.get(words, F.lit(1)).alias("word"))).alias("synonyms"),
+        F.array("text").alias("glosses"), F.array("lang").alias("tags"), none.alias("topics"), none.alias("wikidata"),
+        F.transform(F.split("text", "\n", -1), example).alias("examples"), F.array().cast("array<struct<word:string>>").alias("alt_of"), F.array(F.struct(F.get(words, F.lit(1)).alias("word"))).alias("synonyms"),
     )
     translation = F.struct(F.get(words, F.lit(2)).alias("word"), F.col("lang").alias("lang_code"), F.upper("lang").alias("lang"), F.get(words, F.lit(0)).alias("sense"))
     ordinal = F.struct(F.lit("").alias("file"), F.lit(0).cast("long").alias("block"), F.col("doc_id").alias("place"))

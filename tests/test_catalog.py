@@ -33,6 +33,13 @@ def test_matches_sql(spark, duck, name):
     assert rows == sorted(str([normal(r[k]) for k in at]) for r in wanted.fetchall())
 
 
+def test_raw_entries_hold_whole_texts(spark):
+    texts = {r["doc_id"]: r["text"] for r in pq.read_table(f"{FOLDER}/documents.parquet").to_pylist()}
+    rows = catalog.raw_entries(catalog.Tables(spark, FOLDER)).select("ord.place", "senses").collect()
+    found = {r.place: (r.senses[0].glosses, [e.text for e in r.senses[0].examples]) for r in rows}
+    assert found == {k: ([t], t.split("\n")) for k, t in texts.items()}
+
+
 def test_entry_and_registry(spark):
     import __spark_entry__ as entry
 
