@@ -159,7 +159,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
     listed = distinct.where(F.size("v") == dimension).select("vkey", "ids", "v").mapInArrow(arrow_rows(assign, schema), "list int, vkey string, ids array<long>, v array<float>")
     listed = table(listed, "lists")
     # One number a list: MOST_LISTS at most.
-    parts = {r.list: -(-r.n // BLOCK) for r in listed.groupBy("list").agg(F.count("*").alias("n")).collect()}
+    held = {r.list: r.n for r in listed.groupBy("list").agg(F.count("*").alias("n")).collect()}
+    parts = {place: -(-n // BLOCK) for place, n in held.items()}
     n_parts = F.element_at(F.array(*[F.lit(parts.get(i, 1)) for i in range(n_lists)]), F.col("list") + 1) if n_lists <= 64 else None
     if n_parts is None:
         counts = vectors.sparkSession.createDataFrame(sorted(parts.items()), "list int, n_parts int")
@@ -174,10 +175,15 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
             if not batch.num_rows:
                 continue
             rows = batch.column(1).to_pylist()
-            near = index.lists(index.prepare(np.array(rows, np.float32)), index.n_probe)
+            near = index.lists(index.prepare(np.array(rows, np.float32)), n_lists)
             out: dict[str, list] = {n: [] for n in visit_schema.names}
             for key, v, places in zip(batch.column(0).to_pylist(), rows, near.tolist(), strict=True):
-                for place in places:
+                seen = 0
+                for turn, place in enumerate(places):
+                    # Where the lists are small, more of them are visited, until k others than the query itself are seen.
+                    if turn >= index.n_probe and seen > k:
+                        break
+                    seen += held.get(place, 0)
                     for part in range(parts.get(place, 0)):
                         for column, value in zip(out.values(), (place, part, key, v), strict=True):
                             column.append(value)

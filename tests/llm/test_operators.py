@@ -274,6 +274,24 @@ def test_nearest_neighbours(spark):
     assert ann.search(few, few).count() == 6 and ann.search(few.where("false"), few).count() == 0
 
 
+def test_small_lists_are_topped_up(spark, monkeypatch):
+    """One list visited, and the query is alone in it."""
+    x = np.random.Generator(np.random.PCG64(3)).standard_normal((60, 8)).astype(np.float32) * 0.01 + np.eye(8, dtype=np.float32)[0]
+    x[0] = np.eye(8)[5]
+    fitted = ann.fit
+
+    def fit(*args):
+        index = fitted(*args)
+        index.centroids, index.n_probe = index.prepare(x[:2]), 1
+        return index
+
+    monkeypatch.setattr(ann, "fit", fit)
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    near = x.astype(float) @ x[0] / np.linalg.norm(x.astype(float), axis=1)
+    found = ann.search(table, table.where("vec_id = 0")).collect()
+    assert [r.vec_id for r in sorted(found, key=lambda r: r.rank)] == [k for k in np.argsort(-near).tolist() if k][:5]
+
+
 def test_toxicity_reads_clauses(spark):
     model = toxicity.Model(toxicity.seeds())
     score = model.score
