@@ -126,7 +126,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
     """(query_id, rank, vec_id, score): the k nearest of `vectors` for each row of `queries`, but rows with its own id."""
     schema_out = "query_id long, rank int, vec_id long, score double"
     shape = lambda df: (
-        df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<float>").alias("v"))
+        df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
         .where(F.col("vec_id").isNotNull() & valid(F.col("v"))).withColumn("vkey", F.md5(F.array_join(F.col("v").cast("array<string>"), ",")))
     )
     base, asked = shape(vectors), shape(queries)
@@ -143,20 +143,17 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
         return vectors.sparkSession.createDataFrame([], schema_out)
     sizes = np.array([len(v) for v in sample])
     dimension = int(np.bincount(sizes).argmax())
-    index = fit(np.array([v for v in sample if len(v) == dimension], np.float32), n_vectors, k)
+    index = fit(np.array([v for v in sample if len(v) == dimension], np.float64), n_vectors, k)
     n_lists = len(index.centroids)
-    schema = pa.schema([("list", pa.int32()), ("vkey", pa.string()), ("ids", pa.list_(pa.int64())), ("v", pa.list_(pa.float32()))])
-
-    def matrix(column: pa.Array) -> np.ndarray:
-        return np.asarray(column.values if hasattr(column, "values") else column.flatten(), np.float32).reshape(-1, dimension)
+    schema = pa.schema([("list", pa.int32()), ("vkey", pa.string()), ("ids", pa.list_(pa.int64())), ("v", pa.list_(pa.float64()))])
 
     def assign(batches):
         for batch in batches:
             if batch.num_rows:
-                at = index.lists(index.prepare(np.array(batch.column(2).to_pylist(), np.float32)), 1)[:, 0]
+                at = index.lists(index.prepare(np.array(batch.column(2).to_pylist(), np.float64)), 1)[:, 0]
                 yield {"list": at.tolist(), "vkey": batch.column(0), "ids": batch.column(1), "v": batch.column(2)}
 
-    listed = distinct.where(F.size("v") == dimension).select("vkey", "ids", "v").mapInArrow(arrow_rows(assign, schema), "list int, vkey string, ids array<long>, v array<float>")
+    listed = distinct.where(F.size("v") == dimension).select("vkey", "ids", "v").mapInArrow(arrow_rows(assign, schema), "list int, vkey string, ids array<long>, v array<double>")
     listed = table(listed, "lists")
     # One number a list: MOST_LISTS at most.
     held = {r.list: r.n for r in listed.groupBy("list").agg(F.count("*").alias("n")).collect()}
@@ -168,14 +165,14 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
     else:
         dealt = listed.withColumn("n_parts", n_parts)
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("vkey"), F.col("n_parts")).cast("int"))
-    visit_schema = pa.schema([("list", pa.int32()), ("part", pa.int32()), ("vkey", pa.string()), ("v", pa.list_(pa.float32()))])
+    visit_schema = pa.schema([("list", pa.int32()), ("part", pa.int32()), ("vkey", pa.string()), ("v", pa.list_(pa.float64()))])
 
     def visit(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = batch.column(1).to_pylist()
-            near = index.lists(index.prepare(np.array(rows, np.float32)), n_lists)
+            near = index.lists(index.prepare(np.array(rows, np.float64)), n_lists)
             out: dict[str, list] = {n: [] for n in visit_schema.names}
             for key, v, places in zip(batch.column(0).to_pylist(), rows, near.tolist(), strict=True):
                 seen = 0
@@ -193,7 +190,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
             yield out
 
     distinct_queries = asked.where(F.size("v") == dimension).groupBy("vkey").agg(F.first("v").alias("v"))
-    visits = distinct_queries.select("vkey", "v").mapInArrow(arrow_rows(visit, visit_schema), "list int, part int, vkey string, v array<float>")
+    visits = distinct_queries.select("vkey", "v").mapInArrow(arrow_rows(visit, visit_schema), "list int, part int, vkey string, v array<double>")
     both = dealt.select("list", "part", F.lit(0).alias("kind"), "vkey", "ids", "v").unionByName(visits.withColumns({"kind": F.lit(1), "ids": F.lit(None).cast("array<long>")}))
     found_schema = pa.schema([("vkey", pa.string()), ("ids", pa.list_(pa.int64())), ("score", pa.float64())])
 
@@ -211,9 +208,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
                 if not ids:
                     continue
                 if rotated is None:
-                    plain = np.array(vectors_, np.float32)
+                    plain = np.array(vectors_, np.float64)
                     rotated = index.prepare(plain)
-                query = np.array(v, np.float32)
+                query = np.array(v, np.float64)
                 turned = index.prepare(query[None])[0]
                 first = min(len(ids), 16 * (k + 1))
                 head, bound = scan(turned, rotated[:first], np.inf, k + 1)

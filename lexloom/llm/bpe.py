@@ -4,8 +4,13 @@ All distinct words of a block of documents are laid out in one linked list of sy
 rank of every mergeable pair to the positions where it stands. Ranks are replayed in ascending order; a merge touches
 its own position and its two neighbours, and only the pairs made there enter the index.
 
-Documents of a partition are taken in blocks of BLOCK_BYTES, so memory is bounded by a block (or one longer document)
-plus a memo of MEMO chunks. Nothing is shuffled: ids depend on the words of a document alone.
+Documents of a partition are taken in blocks of BLOCK_BYTES, across the batches they arrive in, and the corpus of a replay
+is the words of a block that are new. So memory is bounded by a block (or one longer document) plus a memo of MEMO chunks,
+and nothing is shuffled: ids depend on the words of a document alone, so that a corpus of more words changes none.
+
+All places of a rank are merged in one pass, of overlapping ones every other from the left. Only where such a pass makes a
+pair of a lower rank, which must go before the places to its right, the word is merged by a heap of its own instead. Both
+take time in proportion to a word's length (times its logarithm), however long it is.
 
 Defined cases: a null or empty text has no ids and an empty decoding; a null id stays null; repeated rows give
 repeated rows; other columns are ignored; an empty table gives an empty result.
@@ -27,8 +32,8 @@ from pyspark.sql import DataFrame
 
 from .common import arrow_rows
 
-BLOCK_BYTES = 32 << 20
-MEMO = 1_000_000
+BLOCK_BYTES = 4 << 20
+MEMO = 200_000
 
 #: A single blank between two non-blank characters: the word pattern always starts a match there.
 SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -66,19 +71,17 @@ class Codec:
         self.pattern = regex.compile(pattern)
         self.vocabulary = {rank: token for token, rank in ranks.items()}
         self.memo: dict[str, bytes] = {}
+        self.join: dict[int, int] = {}
         self.bytes = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
         if self.bytes.min() < 0:
             raise ValueError("the vocabulary lacks a single byte")
         #: Every pair of symbols that joins to a token, sorted, and the token's rank.
         joins: dict[int, int] = {}
-        #: Ranks whose token begins or ends a token of a lower rank: only their merges can make a pair that goes first.
-        self.late: set[int] = set()
         for token, rank in ranks.items():
             for k in range(1, len(token)):
                 left, right = ranks.get(token[:k], -1), ranks.get(token[k:], -1)
                 if left >= 0 and right >= 0:
                     joins[left << 20 | right] = rank
-                self.late.update(part for part in (left, right) if part > rank)
         self.joins = np.array(sorted(joins), np.int64)
         self.joined = np.array([joins[k] for k in self.joins.tolist()], np.int64)
 
@@ -102,6 +105,7 @@ class Codec:
         before[starts[full]] = -1
         index: dict[int, list[np.ndarray]] = {}
         heap: list[int] = []
+        apart: dict[int, np.ndarray] = {}
 
         def enter(at: np.ndarray) -> None:
             """Put the pairs that start at these positions into the index."""
@@ -126,20 +130,18 @@ class Codec:
             places = index.pop(rank)
             at = np.sort(np.concatenate(places)) if len(places) > 1 else places[0]
             at = at[(symbol[at] >= 0) & (after[at] >= 0)]
-            if not len(at):
-                continue
-            nxt = after[at]
-            at = at[self.pair_ranks(symbol[at], symbol[nxt]) == rank]
             nxt = after[at]
-            rest = np.zeros(0, np.int64)
-            if rank in self.late or (len(at) > 1 and (nxt[:-1] == at[1:]).any()):
-                # Of each word only the leftmost place goes now; the others are looked at again.
-                _, first = np.unique(np.searchsorted(ends, at, side="right"), return_index=True)
-                keep = np.zeros(len(at), bool)
-                keep[first] = True
-                rest, at, nxt = at[~keep], at[keep], nxt[keep]
+            fits = self.pair_ranks(symbol[at], symbol[nxt]) == rank if len(at) else np.zeros(0, bool)
+            at, nxt = at[fits], nxt[fits]
             if not len(at):
                 continue
+            # Where a place begins with the end of the one before it, every other of the run goes, from the left.
+            chained = np.concatenate([[False], nxt[:-1] == at[1:]])
+            if chained.any():
+                place = np.arange(len(at))
+                begin = np.maximum.accumulate(np.where(chained, 0, place))
+                keep = (place - begin) % 2 == 0
+                at, nxt = at[keep], nxt[keep]
             follow = after[nxt]
             symbol[at] = rank
             symbol[nxt] = -1
@@ -147,21 +149,44 @@ class Codec:
             there = follow >= 0
             before[follow[there]] = at[there]
             prior = before[at]
-            enter(np.unique(np.concatenate([prior[prior >= 0], at[there]])))
-            if len(rest):
-                if rank in index:
-                    index[rank].append(rest)
-                else:
-                    index[rank] = [rest]
-                    heapq.heappush(heap, rank)
+            made = np.unique(np.concatenate([prior[prior >= 0], at[there]]))
+            low = self.pair_ranks(symbol[made], symbol[after[made]])
+            if len(early := made[(low >= 0) & (low < rank)]):
+                for word in np.unique(np.searchsorted(ends, early, side="right")).tolist():
+                    apart[word] = self.merge_alone(words[word])
+                    symbol[starts[word] : ends[word]] = -1
+                made = made[symbol[made] >= 0]
+            enter(made)
         alive = symbol >= 0
         counted = np.concatenate([[0], np.cumsum(alive)])
         ids = symbol[alive].astype("<u4")
         return [
-            np.array([known], "<u4") if known >= 0 else ids[counted[s] : counted[e]]
-            for known, s, e in zip(whole, starts.tolist(), ends.tolist(), strict=True)
+            np.array([known], "<u4") if known >= 0 else apart[n] if n in apart else ids[counted[s] : counted[e]]
+            for n, (known, s, e) in enumerate(zip(whole, starts.tolist(), ends.tolist(), strict=True))
         ]
 
+    def merge_alone(self, word: bytes) -> np.ndarray:
+        """Ids of one word, its merges taken from a heap by rank and place."""
+        symbol = [int(self.bytes[b]) for b in word]
+        after, before = list(range(1, len(word) + 1)), list(range(-1, len(word) - 1))
+        after[-1] = -1
+        join = {int(k): int(r) for k, r in zip(self.joins, self.joined, strict=True)} if not self.join else self.join
+        self.join = join
+        heap = [(r, i) for i in range(len(word) - 1) if (r := join.get(symbol[i] << 20 | symbol[i + 1])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            rank, i = heapq.heappop(heap)
+            j = after[i] if symbol[i] >= 0 else -1
+            if j < 0 or join.get(symbol[i] << 20 | symbol[j]) != rank:
+                continue
+            symbol[i], symbol[j], after[i] = rank, -1, after[j]
+            if after[i] >= 0:
+                before[after[i]] = i
+            for left in (before[i], i):
+                if left >= 0 and after[left] >= 0 and (r := join.get(symbol[left] << 20 | symbol[after[left]])) is not None:
+                    heapq.heappush(heap, (r, left))
+        return np.array([x for x in symbol if x >= 0], "<u4")
+
     def words_of(self, chunk: str) -> list[str]:
         """The matches of the word pattern in a chunk; the commonest shapes need no search."""
         body = chunk[1:] if chunk[0] == " " else chunk
@@ -193,10 +218,20 @@ class Codec:
         look = self.memo.__getitem__
         return [b"".join(map(look, chunks_of(t))) for t in texts]
 
+    def forget(self) -> None:
+        """Free what a task has learnt; workers live on."""
+        self.memo.clear()
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.vocabulary.__getitem__, array.array("I", ids)))
 
 
+def streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, str]]:
+    """Rows one by one, whatever batches they arrive in."""
+    for batch in batches:
+        yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+
+
 def blocks(rows: Iterable[tuple[object, str]], limit: int = BLOCK_BYTES) -> Iterator[list[tuple[object, str]]]:
     """Rows in blocks of about so many characters; a longer text is a block by itself."""
     block: list[tuple[object, str]] = []
@@ -218,14 +253,14 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
 
     def run(batches):
         own = codec(path, pattern)
-        for batch in batches:
-            for block in blocks(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
-                ids = own.encode_block([t for _, t in block])
-                yield {
-                    "doc_id": [k for k, _ in block],
-                    "ids": [array.array("I", i).tolist() for i in ids],
-                    "decoded": [own.decode(i) for i in ids],
-                }
+        for block in blocks(streamed(batches)):
+            ids = own.encode_block([t for _, t in block])
+            yield {
+                "doc_id": [k for k, _ in block],
+                "ids": [array.array("I", i).tolist() for i in ids],
+                "decoded": [own.decode(i) for i in ids],
+            }
+        own.forget()
 
     return docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text_col}` text").mapInArrow(
         arrow_rows(run, schema), "doc_id long, ids array<int>, decoded binary"
@@ -240,15 +275,15 @@ def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
 
     def run(batches):
         own = codec(path, pattern)
-        for batch in batches:
-            for block in blocks(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
-                ids = own.encode_block([t for _, t in block])
-                yield {
-                    "doc_id": [k for k, _ in block],
-                    "n_tokens": [len(i) // 4 for i in ids],
-                    "ids_sha256": [hashlib.sha256(i).hexdigest() for i in ids],
-                    "decoded_sha256": [hashlib.sha256(own.decode(i)).hexdigest() for i in ids],
-                }
+        for block in blocks(streamed(batches)):
+            ids = own.encode_block([t for _, t in block])
+            yield {
+                "doc_id": [k for k, _ in block],
+                "n_tokens": [len(i) // 4 for i in ids],
+                "ids_sha256": [hashlib.sha256(i).hexdigest() for i in ids],
+                "decoded_sha256": [hashlib.sha256(own.decode(i)).hexdigest() for i in ids],
+            }
+        own.forget()
 
     return docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text_col}` text").mapInArrow(
         arrow_rows(run, schema), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -14,16 +14,29 @@ from pyspark.sql import functions as F
 
 #: Python objects of so many rows are alive at once in a worker, whatever the size of Arrow's batches.
 ROWS = 512
+#: Rows and bytes of an Arrow batch on its way to a worker: each task holds one in the JVM and one in Python.
+BATCH_ROWS, BATCH_BYTES = 1024, 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to what a small executor can hold twice a task; never raises them."""
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = int(spark.conf.get(name).rstrip("b"))
+        if now <= 0 or now > most:
+            spark.conf.set(name, str(most))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. A local session may do without and gets one of its own."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     made = "file://" + tempfile.mkdtemp(prefix="lexloom-")
     spark.sparkContext.setCheckpointDir(made)
     return made
@@ -32,6 +45,7 @@ def shared_dir(spark: SparkSession) -> str:
 def table(df: DataFrame, name: str) -> DataFrame:
     """Write a frame as Parquet in the shared folder and read it back: lineage ends here, losses replay nothing."""
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{shared_dir(spark)}/lexloom/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     schema = df.schema
@@ -39,7 +53,25 @@ def table(df: DataFrame, name: str) -> DataFrame:
     del df
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    back = spark.read.schema(schema).parquet(path)
+    back.__dict__["written_to"] = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that table() has written and that no later plan reads."""
+    for frame in tables:
+        spark = frame.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(frame.__dict__["written_to"])
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the frame doesn't have, whatever its columns are called."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 def arrow_rows(
@@ -67,11 +99,16 @@ def utf8(text: str | None) -> bytes:
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def key_of(doc_id, text):
+    """A join key that holds for null ids and for an id with several texts."""
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("-")), F.hex(F.xxhash64(text)))
+
+
 def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The id and text under fixed names, with a join key that holds for null ids and for an id with several texts."""
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn(
-        "key", F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.hex(F.xxhash64("text")))
-    )
+    """The id and text under fixed names, with their key."""
+    own = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return own.withColumn("key", key_of(F.col("doc_id"), F.col("text")))

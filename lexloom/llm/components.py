@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import discard, table
 
 
 def star(edges: DataFrame, large: bool) -> DataFrame:
@@ -34,6 +34,8 @@ def components(edges: DataFrame) -> DataFrame:
         if mark == before or not mark[0]:
             break
         before = mark
-        edges = table(star(star(edges, True), False), "edges")
+        contracted = table(star(star(edges, True), False), "edges")
+        discard(edges)
+        edges = contracted
     roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.union(edges.select("b", "b").distinct())

@@ -33,14 +33,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import arrow_rows, keyed, table, utf8
+from .common import arrow_rows, discard, key_of, keyed, small_batches, table, unused, utf8
 from .components import components
+from .hashing import word_hashes
 
 SHINGLE = 5
 BATCHES, MISS = 7, 1e-3
 BUCKET, PIVOTS = 1024, 8
 #: Shingles that are verified in one place, but for a single larger pair, and rounds by pivots for groups with more.
-GROUP, HOT_ROUNDS = 2_000_000, 3
+GROUP, HOT_ROUNDS = 1_000_000, 3
 
 
 def bands_for(threshold: float, miss: float = 1e-4, most: int = 128) -> tuple[int, int]:
@@ -58,32 +59,17 @@ def multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return random.integers(1, 2**63, n, np.uint64) * np.uint64(2) + np.uint64(1), random.integers(0, 2**63, n, np.uint64)
 
 
-_words: dict[bytes, int] = {}
-
-
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's word shingles."""
-    import xxhash
-
-    words = utf8(text).lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(_words) > 500_000:
-        _words.clear()
-    known = _words
-    hashes = []
-    for w in words:
-        h = known.get(w)
-        if h is None:
-            h = known[w] = xxhash.xxh3_64_intdigest(w)
-        hashes.append(h)
-    h = np.array(hashes, np.uint64)
+    h = word_hashes(utf8(text).lower())
+    if not len(h):
+        return h
     n = max(len(h) - size + 1, 1)
-    out = np.full(n, len(h) if len(h) < size else size, np.uint64)
+    out = np.full(n, min(len(h), size), np.uint64)
     for k in range(min(size, len(h))):
         out = (out ^ (out >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + h[k : k + n]
-    out = (out ^ (out >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return np.unique(out ^ (out >> np.uint64(32)))
+    out.sort()
+    return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
 def signature(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -196,26 +182,38 @@ def joins(similar: np.ndarray, roots: np.ndarray, others: np.ndarray) -> list[tu
     return [(int(rows[k]), int(columns[k])) for k in first]
 
 
+def numbered(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All members of some sets, put one after another as numbers from 0, and how often each number is found."""
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable").astype(np.int32)
+    flat = flat[order]
+    new = np.zeros(len(flat), np.int32)
+    np.cumsum(flat[1:] != flat[:-1], out=new[1:])
+    del flat
+    out = np.empty(len(order), np.int32)
+    out[order] = new
+    return out, np.bincount(new)
+
+
 def exact_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """A forest of the linked pairs of some sets: those with 100 * intersection >= percent * union."""
     n = len(sets)
     sizes = np.array([len(x) for x in sets])
-    words, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    flat, shared = numbered(sets)
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    shared = np.bincount(flat)
     # Members that share the most go first: one that links with all the others ends the search.
     order = np.argsort(-np.add.reduceat(shared[flat], starts) / sizes, kind="stable")
     root = np.arange(n)
     out = []
-    mark = np.zeros(len(words), bool)
+    mark = np.zeros(len(shared), np.int32)
     for i in order.tolist():
         others = root != root[i]
         if not others.any():
             break
         own = flat[starts[i] : starts[i] + sizes[i]]
-        mark[own] = True
-        common = np.add.reduceat(mark[flat], starts, dtype=np.int64)
-        mark[own] = False
+        mark[own] = 1
+        common = np.add.reduceat(mark[flat], starts)
+        mark[own] = 0
         for j in np.flatnonzero(others & (100 * common >= percent * (sizes + sizes[i] - common))).tolist():
             if root[j] != root[i]:
                 out.append((i, j))
@@ -231,9 +229,9 @@ def cross_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, roo
     """
     sizes = np.array([len(x) for x in sets])
     ends = np.cumsum(sizes)
-    _, flat, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    rank = np.empty(len(count), np.int64)
-    rank[np.argsort(count, kind="stable")] = np.arange(len(count))
+    flat, count = numbered(sets)
+    rank = np.empty(len(count), np.int32)
+    rank[np.argsort(count, kind="stable")] = np.arange(len(count), dtype=np.int32)
     ranked = rank[flat]
     words = [np.sort(ranked[end - n : end]) for n, end in zip(sizes, ends, strict=True)]
     prefix = [x[: len(x) + (-percent * len(x)) // 100 + 1] for x in words]
@@ -394,38 +392,55 @@ def full_sets(docs: DataFrame, classes: DataFrame, cids: DataFrame, size: int =
     return docs.select("key", "text").join(wanted, "key").select("cid", "text").mapInArrow(arrow_rows(run, schema), "cid binary, n long, shingles binary").dropDuplicates(["cid"])
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
-    """Per document: doc_id, key, n_shingles, component_id, kept."""
+def classified(docs: DataFrame, percent: int, size: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
+    """Signatures of keyed() documents, and (cid, root, component_id) of each class: its group and the group's least id."""
     rows, bands = bands_for(percent / 100)
     limits = least_matches(percent / 100, rows * bands)
-    docs = keyed(docs, id_col, text_col)
     sigs = table(signatures(docs, rows * bands, size), "signatures")
     filled = sigs.where("cid is not null")
     classes = table(filled.groupBy("cid").agg(F.min(F.struct("doc_id", "key")).alias("least"), F.min("doc_id").alias("id")).select("cid", "id", "least.key"), "classes")
     # Buckets with two classes or more: the bands are worked out twice rather than stored.
     banded = band_rows(filled, rows, bands)
     mark = F.xxhash64("cid")
-    several = banded.groupBy("bucket").agg(F.min(mark).alias("low"), F.max(mark).alias("high")).where("low < high").select("bucket")
-    met = table(banded.join(table(several, "buckets"), "bucket").distinct(), "met")
-    sizes = met.groupBy("bucket").agg(F.ceil(F.count("*") / BUCKET).cast("long").alias("parts"))
-    members = met.join(table(sizes, "sizes"), "bucket").select(F.col("bucket").alias("group"), "cid", "parts")
+    several = table(banded.groupBy("bucket").agg(F.min(mark).alias("low"), F.max(mark).alias("high")).where("low < high").select("bucket"), "buckets")
+    met = table(banded.join(several, "bucket").distinct(), "met")
+    sizes = table(met.groupBy("bucket").agg(F.ceil(F.count("*") / BUCKET).cast("long").alias("parts")), "sizes")
+    # Written, so that nothing stands on the join and a hot bucket can be split in it.
+    members = table(met.join(sizes, "bucket").select(F.col("bucket").alias("group"), "cid", "parts"), "members")
     near = table(filled.join(classes.join(met.select("cid").distinct(), "cid", "left_semi").select("key"), "key", "left_semi").select("cid", "sig").dropDuplicates(["cid"]), "near")
+    discard(several, met, sizes)
     groups = table(candidate_groups(members, near, limits), "candidates")
+    discard(members, near)
     sets = table(full_sets(docs, classes, groups.select("cid"), size), "sets")
-    roots = components(verified_links(groups, sets, percent))
+    roots = table(components(verified_links(groups, sets, percent)), "roots")
+    discard(groups, sets)
     grouped = classes.select("cid", "id").join(roots, classes.cid == roots.node).select("cid", "root", "id")
-    joined = grouped.join(grouped.groupBy("root").agg(F.min("id").alias("component_id")), "root").select("cid", "component_id")
+    joined = grouped.join(grouped.groupBy("root").agg(F.min("id").alias("component_id")), "root").select("cid", "root", "component_id")
     alone = classes.select("cid", F.col("id").alias("class_id"))
-    component = table(alone.join(joined, "cid", "left").select("cid", F.coalesce("component_id", "class_id").alias("component_id")), "components")
+    found = alone.join(joined, "cid", "left").select("cid", F.coalesce("root", "cid").alias("root"), F.coalesce("component_id", "class_id").alias("component_id"))
+    return sigs, table(found, "components")
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
+    """Per document: doc_id, key, n_shingles, component_id, kept."""
+    sigs, component = classified(keyed(docs, id_col, text_col), percent, size)
     return sigs.select("doc_id", "key", "n_shingles", "cid").join(component, "cid", "left").select(
         "doc_id", "key", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
 def survivors(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each near-duplicate group, and every other row, with all columns of docs."""
-    found = near_duplicates(docs, percent, id_col, text_col).where("kept")
-    # Of the kept documents of a group, which then share an id, one key stays; documents without words all stay.
-    kept = found.groupBy(F.coalesce("component_id", F.lit(-(2**63))).alias("c"), F.when(F.col("n_shingles") == 0, F.col("key")).alias("w")).agg(F.min("key").alias("__key"))
-    own = docs.withColumn("__key", F.concat_ws(":", F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("-")), F.hex(F.xxhash64(F.col(text_col)))))
-    return own.join(kept.select("__key"), "__key").dropDuplicates(["__key"]).drop("__key")
+    """One row of each near-duplicate group, and every other row, with all columns of docs.
+
+    The row that stays is one with the least id (null last), and of these with the least hash of its text. A row without
+    words is in no group, so all of them stay, repeated ones too; equal worded rows are one group and one of them stays.
+    Rows with a null id are grouped by their texts like all others.
+    """
+    small_batches(docs.sparkSession)
+    sigs, component = classified(keyed(docs, id_col, text_col), percent)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "key"))
+    kept = sigs.where("cid is not null").join(component, "cid").groupBy("root").agg(first.alias("first")).select("first.key")
+    key, text = unused(docs, "key"), F.col(text_col).cast("string")
+    worded = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    own = docs.where(worded).withColumn(key, key_of(F.col(id_col).cast("long"), text))
+    return own.join(kept.withColumnRenamed("key", key), key).dropDuplicates([key]).select(*docs.columns).unionByName(docs.where(~worded))

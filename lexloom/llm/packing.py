@@ -34,7 +34,7 @@ WINDOW = 2048
 OPEN = 128
 MERGE = 64
 END_ID = 1
-MEMO = 1_000_000
+MEMO = 200_000
 #: Partition numbers stand above this bit of a sequence's id.
 SHIFT = 40
 #: White space for Python's split but not for the tokenizer.
@@ -55,10 +55,10 @@ class WordCodec:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        #: Texts with one of these are encoded as a whole: they stand for themselves wherever they are found.
+        self.added = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or r"(?!)", re.IGNORECASE)
         spec["normalizer"] = None
         self.words = Tokenizer.from_str(json.dumps(spec))
-        self.words.encode_special_tokens = True
         self.memo: dict[str, bytes] = {}
 
     @staticmethod
@@ -73,7 +73,7 @@ class WordCodec:
         if len(self.memo) > MEMO:
             self.memo.clear()
         memo = self.memo
-        cut = [None if BLANK_FOR_PYTHON.search(t) else self.split(t) for t in texts]
+        cut = [None if BLANK_FOR_PYTHON.search(t) or self.added.search(t) else self.split(t) for t in texts]
         new = {w for words in cut if words for w in words if w not in memo}
         # A word of letters and its closing mark are separate pieces, so that the word is encoded once for both.
         marked = [w for w in new if w[-1] in ".," and w[:-1].isalpha()]
@@ -165,6 +165,7 @@ def place(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
                     yield rows(out, False)
         if left := packer.close():
             yield rows(left, True)
+        codec.memo.clear()  # workers live on
 
     ddl = ", ".join(f"`{f}` {'boolean' if f == 'open' else 'long'}" for f in fields)
     return docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text_col}` text").mapInArrow(arrow_rows(run, schema), ddl)

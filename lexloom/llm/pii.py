@@ -11,12 +11,18 @@ null id stays null; repeated rows give repeated rows; other columns are kept by
 
 from __future__ import annotations
 
+import hmac
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import unused
+
 ROUNDS = 8
-#: Days from 1800-01-01: the 146,097 days of 400 years are 189 x 773.
-FIRST_DAY, DAYS = "1800-01-01", (189, 773)
+#: Dates are permuted within spans of 400 years, from 0200-01-01 on: their 146,097 days are 189 x 773. What is before the
+#: first of the 24 spans (0001 to 0199, 72,683 days) and after the last (9800 to 9999, 73,048 days) are spans too.
+FIRST_DAY, SPAN, SPANS = "0200-01-01", 146_097, 24
+DAYS, DAYS_BEFORE, DAYS_AFTER = (189, 773), (13, 5591), (8, 9131)
 
 NOT_BEFORE, NOT_AFTER = r"(?<![\p{L}\p{N}_])(?<!\p{N}[.,-])", r"(?![\p{L}\p{N}_])"
 KINDS = {
@@ -43,12 +49,16 @@ def number(value: Column) -> Column:
     return F.coalesce(F.expr("null").cast("long"), F.when(F.length(value) > 0, value.cast("long")), F.lit(0))
 
 
-def keyed(key: str, *parts: Column | str) -> Column:
-    """48 keyed bits of the parts."""
-    joined = F.concat_ws("|", F.lit(key), *[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+def keyed(key: str, tag: str, *parts: Column) -> Column:
+    """48 keyed bits of the parts. Plans hold a key that is derived for the tag (HMAC-SHA-256), never the secret itself."""
+    joined = F.concat_ws("|", F.lit(derived(key, tag)), *[p.cast("string") for p in parts])
     return F.conv(F.substring(F.sha2(joined, 256), 1, 12), 16, 10).cast("long")
 
 
+def derived(key: str, tag: str) -> str:
+    return hmac.new(key.encode(), b"pseudonyms/" + tag.encode(), "sha256").hexdigest()
+
+
 def feistel(left: Column, right: Column, radix_left: Column, radix_right: Column, key: str, tag: str) -> Column:
     """Permute pairs of a left below one radix and a right below another: struct<left, right>."""
     start = F.struct(left.cast("long").alias("left"), right.cast("long").alias("right"))
@@ -169,20 +179,24 @@ def as_date(m: Column, key: str) -> Column:
     us = F.try_to_timestamp(F.concat_ws("-", y, first, second), F.lit("yyyy-MM-dd")).cast("date")
     eu = F.try_to_timestamp(F.concat_ws("-", y, second, first), F.lit("yyyy-MM-dd")).cast("date")
     month_first = iso | (~day_first & us.isNotNull())
-    n = F.datediff(F.when(month_first, us).otherwise(eu), F.lit(FIRST_DAY).cast("date"))
-    made = feistel(F.floor(n / DAYS[1]), n % DAYS[1], F.lit(DAYS[0]), F.lit(DAYS[1]), key, "date")
-    day = lambda p: F.date_add(F.lit(FIRST_DAY).cast("date"), (p["left"] * DAYS[1] + p["right"]).cast("int"))
+    since = F.datediff(F.when(month_first, us).otherwise(eu), F.lit(FIRST_DAY).cast("date"))
+    before, after = since < 0, since >= SPANS * SPAN
+    of_span = lambda k: F.when(before, DAYS_BEFORE[k]).when(after, DAYS_AFTER[k]).otherwise(DAYS[k])
+    base = F.when(before, -DAYS_BEFORE[0] * DAYS_BEFORE[1]).when(after, SPANS * SPAN).otherwise(F.floor(since / SPAN) * SPAN)
+    n = since - base
+    made = feistel(F.floor(n / of_span(1)), n % of_span(1), of_span(0), of_span(1), key, "date")
+    day = lambda p: F.date_add(F.lit(FIRST_DAY).cast("date"), (base + p["left"] * of_span(1) + p["right"]).cast("int"))
 
     def written(p: Column) -> Column:
         parts = F.date_format(day(p), "yyyy"), F.date_format(day(p), "MM"), F.date_format(day(p), "dd")
         return F.when(iso, F.concat_ws("\x00", *parts)).when(month_first, F.concat_ws("\x00", parts[1], parts[2], parts[0])).otherwise(F.concat_ws("\x00", parts[2], parts[1], parts[0]))
 
-    return F.when(n.between(0, DAYS[0] * DAYS[1] - 1), F.replace(let(made, written), F.lit("\x00"), sep))
+    return F.when(since.isNotNull(), F.replace(let(made, written), F.lit("\x00"), sep))
 
 
 def shift_letters(half: Column, other: Column, key: str, i: Column, sign: int = 1) -> Column:
     """Move each letter and digit of one half within its class, by keyed amounts that depend on the other half."""
-    stream = F.sha2(F.concat_ws("|", F.lit(key), F.lit("email"), i.cast("string"), other), 256)
+    stream = F.sha2(F.concat_ws("|", F.lit(derived(key, "email")), i.cast("string"), other), 256)
 
     def move(c: Column, at: Column) -> Column:
         by = F.conv(F.substring(stream, (at % 32) * 2 + 1, F.lit(2)), 16, 10).cast("int")
@@ -247,15 +261,17 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
         F.when(mail, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
         .when(text.rlike("[0-9]"), F.regexp_extract_all(text, F.lit(NUMBERS), F.lit(0))).otherwise(none)
     )
-    held = docs.drop("pii_values", "pii_kinds").withColumn("pii_found", found)
-    made = F.transform("pii_found", lambda m: let(kind_of(m), lambda k: F.struct(m.alias("old"), k.alias("kind"), pseudonym(m, k, key).alias("new"))))
-    held = held.withColumn("pii_made", F.when(F.size("pii_found") > 0, made))
+    held = docs.drop("pii_values", "pii_kinds")
+    found_, made_ = unused(held, "pii_found"), unused(held, "pii_made")
+    held = held.withColumn(found_, found)
+    made = F.transform(found_, lambda m: let(kind_of(m), lambda k: F.struct(m.alias("old"), k.alias("kind"), pseudonym(m, k, key).alias("new"))))
+    held = held.withColumn(made_, F.when(F.size(found_) > 0, made))
     between = F.when(mail, F.split(text, PATTERN, -1)).otherwise(F.split(text, NUMBERS, -1))
-    joined = F.array_join(F.zip_with(between, F.transform("pii_made", lambda x: F.coalesce(x["new"], x["old"])), lambda s, r: F.concat(s, F.coalesce(r, F.lit("")))), "")
-    valid = F.filter("pii_made", lambda x: x["new"].isNotNull())
+    joined = F.array_join(F.zip_with(between, F.transform(made_, lambda x: F.coalesce(x["new"], x["old"])), lambda s, r: F.concat(s, F.coalesce(r, F.lit("")))), "")
+    valid = F.filter(made_, lambda x: x["new"].isNotNull())
     return (
         held.withColumn("pii_values", F.coalesce(F.size(valid), F.lit(0)))
         .withColumn("pii_kinds", F.coalesce(F.array_join(F.array_sort(F.array_distinct(F.transform(valid, lambda x: x["kind"]))), ","), F.lit("")))
-        .withColumn(text_col, F.when(F.size("pii_made") > 0, joined).otherwise(text))
-        .drop("pii_found", "pii_made")
+        .withColumn(text_col, F.when(F.size(made_) > 0, joined).otherwise(text))
+        .drop(found_, made_)
     )

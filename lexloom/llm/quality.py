@@ -1,6 +1,7 @@
 """Quality rules by compression bands.
 
-A document is compressed as a whole and in fixed chunks of CHUNK bytes. The ratio of plain to compressed bytes must lie
+A document is compressed as a whole and, from CHUNK bytes on, in fixed chunks of CHUNK bytes, the last of which ends with
+the text and may overlap the one before. The ratio of plain to compressed bytes must lie
 within limits that depend on the length: above them a text is repetitive, below them it is incompressible. More than
 BAD_SHARE of a document's chunks outside the chunk limits rejects it too, so that one odd passage does not.
 
@@ -49,12 +50,14 @@ def limits(n_bytes: int) -> tuple[float, float]:
 
 
 def bands(data: bytes, level: int = LEVEL, chunk: int = CHUNK) -> tuple[float, int, int, bool]:
-    """Whole ratio, number of full chunks, how many of these are outside their limits, and the verdict."""
+    """Whole ratio, number of chunks, how many of these are outside their limits, and the verdict."""
     whole = ratio(data, level)
     least, most = limits(len(data))
-    if len(data) < 2 * chunk:
+    if len(data) < chunk:
         return whole, 0, 0, least <= whole <= most
-    starts = range(0, len(data) - chunk + 1, chunk)
+    starts = [*range(0, len(data) - chunk + 1, chunk)]
+    if len(data) % chunk:  # a last chunk that ends with the text
+        starts.append(len(data) - chunk)
     bad = sum(not CHUNK_LIMITS[0] <= ratio(data[s : s + chunk], level) <= CHUNK_LIMITS[1] for s in starts)
     return whole, len(starts), bad, least <= whole <= most and bad <= BAD_SHARE * len(starts)
 

@@ -7,11 +7,11 @@ equal anchors at equal places, so only suffixes that start at anchors with equal
    context). Anchors whose k-gram is found once are dropped; equal contexts are counted before the shuffle.
 2. A k-gram with one context repeats as a whole. For the others one text per distinct context is fetched.
 3. In each such bucket the right contexts form an enhanced suffix array. A stack scan over its common prefixes yields the
-   interval tree; each interval's suffixes, ordered by what stands to their left, give the longest common extension of
-   each with any other, which says exactly which windows repeat. An interval whose members differ to the left of their
-   common extension is a maximal repeat, reported with all members.
-4. Buckets of more than HOT distinct contexts are not gathered: their windows are counted one by one, by a 128-bit hash,
-   with partial aggregation. The result is the same.
+   interval tree; in each interval a second scan, over what stands to the left, yields the groups with a common left
+   extension. Groups that are diverse on both sides are the maximal repeats, with all their members; a window repeats if
+   and only if it lies in one.
+4. Buckets of more than HOT distinct contexts would not fit in a task: their windows are counted one by one, by a 128-bit
+   hash, with partial aggregation. This splits a hot anchor exactly; the removed bytes are the same (tested).
 
 No pairs of occurrences are ever made. Defined cases: a null or empty text, or one shorter than `length`, keeps all its
 bytes; matches never cross texts; a null id stays null; equal rows repeat each other; other columns are kept by `prune`
@@ -20,7 +20,6 @@ and ignored elsewhere; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -29,49 +28,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, table, utf8
+from .common import arrow_rows, discard, small_batches, table, unused, utf8
+from .hashing import PIECE, gram_hashes
 
 LENGTH = 200
 #: Bytes of an anchor's k-gram: a quarter of the length, so that anchors are far apart and rarely equal by chance.
 K_SHARE = 4
 HOT = 4096
-#: Texts are scanned in pieces of so many windows.
-PIECE = 1 << 22
 PLACE = np.uint64((1 << 24) - 1)
 
 
-@functools.lru_cache(maxsize=1)
-def byte_values() -> np.ndarray:
-    return np.random.Generator(np.random.PCG64(77)).integers(1, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-_powers: list[np.ndarray] = []
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base modulo 2**64, and of its inverse."""
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, 1 << 17)
-        base = 0x9E3779B97F4A7C15
-        up, down = np.full(size, base, np.uint64), np.full(size, pow(base, -1, 2**64), np.uint64)
-        up[0] = down[0] = 1
-        _powers[:] = [np.multiply.accumulate(up), np.multiply.accumulate(down)]
-    return _powers[0][:n], _powers[1][:n]
-
-
-def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
-    """A mixed 64-bit hash of the k bytes from each place on."""
-    n = len(data)
-    up, down = powers(n)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(byte_values()[data] * up, out=sums[1:])
-    h = (sums[k:] - sums[: n - k + 1]) * down[: n - k + 1]
-    h ^= h >> np.uint64(32)
-    h *= np.uint64(0xD6E8FEB86659FD93)
-    h ^= h >> np.uint64(29)
-    return h
-
-
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     """Least of each width values in a row, by prefix and suffix minima of blocks."""
     n = len(values)
@@ -163,37 +129,40 @@ class Bucket:
         self.order = sorted(range(len(rights)), key=rights.__getitem__)
         self.prefixes = [common(rights[a], rights[b]) for a, b in zip(self.order, self.order[1:], strict=False)]
 
-    def nodes(self) -> Iterator[tuple[int, list[int], list[int]]]:
-        """Each interval: common prefix, members ordered by what stands to their left, common extensions of neighbours."""
-        for size, first, last in intervals(self.prefixes):
+    def maximal(self, length: int) -> Iterator[tuple[int, int, list[int]]]:
+        """Maximal repeats around the anchor: (bytes left of it, bytes right of it, all members), longest first by member.
+
+        Members of an interval share what stands to their right and differ behind it. A second stack scan, over what
+        stands to their left, gives the groups that also share a left extension and differ, or end, before it. A group
+        is a maximal repeat if it is diverse on both sides, so one that lies within a single child interval goes: its
+        members share more to the right and the child has reported them.
+        """
+        inner: dict[int, int] = {}  # each suffix's number of the last interval that held it
+        for number, (size, first, last) in enumerate(intervals(self.prefixes)):
             members = sorted(self.order[first : last + 1], key=self.lefts.__getitem__)
-            yield size, members, [common(self.lefts[a], self.lefts[b]) for a, b in zip(members, members[1:], strict=False)]
+            shared = [common(self.lefts[a], self.lefts[b]) for a, b in zip(members, members[1:], strict=False)]
+            for extension, low, high in intervals(shared):
+                if size + extension >= length:
+                    group = members[low : high + 1]
+                    child = inner.get(group[0])
+                    if child is None or any(inner.get(m) != child for m in group):
+                        yield extension, size, group
+            for m in members:
+                inner[m] = number
 
     def repeated(self, length: int) -> list[list[tuple[int, int]]]:
-        """For each context, ranges (fewest, most) of bytes left of the anchor from which a repeated window starts."""
-        found: list[list[tuple[int, int]]] = [[] for _ in self.rights]
-        for size, members, shared in self.nodes():
-            if size + max(shared) < length:
-                continue
-            for i, m in enumerate(members):
-                most = max(shared[i - 1] if i else 0, shared[i] if i < len(shared) else 0)
-                if size + most >= length:
-                    found[m].append((max(length - size, 0), most))
-        return found
-
-    def maximal(self, length: int) -> list[tuple[int, int, list[int]]]:
-        """Maximal repeats within the contexts: (bytes left of the anchor, bytes right of it, all members).
+        """For each context, ranges (fewest, most) of bytes left of the anchor from which a repeated window starts.
 
-        An interval can't be extended to the right for all its members; it is maximal if its members, behind their
-        common left extension, differ in the next byte or one of them ends there.
+        A window is repeated if and only if it lies in a maximal repeat, so the ranges are those of the groups.
         """
-        out = []
-        for size, members, shared in self.nodes():
-            extension = min(shared)
-            before = {self.lefts[m][extension : extension + 1] for m in members}
-            if size + extension >= length and (len(before) > 1 or b"" in before):
-                out.append((extension, size, members))
-        return out
+        found: list[list[tuple[int, int]]] = [[] for _ in self.rights]
+        for extension, size, group in self.maximal(length):
+            part = (max(length - size, 0), extension)
+            for m in group:
+                # Of nested groups of an interval the first has the longest extension.
+                if not found[m] or found[m][-1][0] != part[0] or found[m][-1][1] < part[1]:
+                    found[m].append(part)
+        return found
 
 
 def contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -219,7 +188,7 @@ def contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
 
 def grouped(rows: DataFrame, emit, schema: pa.Schema, ddl: str) -> DataFrame:
-    """Feed the contexts of each anchor to emit(rows); a task holds one anchor's, HOT at most."""
+    """Feed the contexts of each anchor to emit(rows); a task holds one anchor's at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
         now, held = None, []
@@ -292,6 +261,7 @@ def places(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]
     # Written first, so that the join deals both sides anew and can split a k-gram that very many texts share.
     twice = table(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "twice")
     repeated = table(found.join(twice, "h"), "repeated")
+    discard(found, twice)
     distinct = repeated.groupBy("h", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "kid", "at", "lo", "hi")).alias("one"))
     distinct = table(distinct.select("h", "ctx", "n", "one.*"), "contexts")
     sizes = table(distinct.groupBy("h").agg(F.count("*").alias("n_contexts")), "sizes")
@@ -332,9 +302,14 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     if hot.limit(1).count():
         ranges = ranges.unionByName(window_ranges(hot, length))
     verdict = distinct.join(ranges, ["h", "ctx"], "left").where("n > 1 or ranges is not null").select("h", "ctx", (F.col("n") > 1).alias("whole"), "ranges")
+    # Written, so that the join below deals both its sides anew and a context of very many texts can be split in it.
+    verdict = table(verdict, "verdicts")
+    discard(distinct, fetched)
     whole = F.array(F.struct(F.col("lo").alias("start"), (F.col("hi") + length).alias("end")))
     part = F.transform("ranges", lambda r: F.struct((F.col("at") - r["most"]).alias("start"), (F.col("at") - r["fewest"] + length).alias("end")))
     marked = repeated.join(verdict, ["h", "ctx"]).select("doc_id", "kid", F.explode(F.when(F.col("whole"), whole).otherwise(part)).alias("span"))
+    marked = table(marked, "spans")
+    discard(repeated, verdict)
     return marked.groupBy("doc_id", "kid").agg(F.collect_set("span").alias("spans"))
 
 
@@ -374,10 +349,11 @@ def digests(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_
 
 def prune(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of docs with repeated bytes removed from the text; a character that is cut in two goes as a whole."""
-    names = docs.columns
-    own = docs.withColumns({"__doc": F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))), "__kid": F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))})
-    found = spans(with_key(docs, id_col, text_col), length).select(F.col("doc_id").alias("__doc"), F.col("kid").alias("__kid"), F.col("spans").alias("__spans"))
-    joined = own.join(found, ["__doc", "__kid"], "left").select(*names, "__spans")
+    small_batches(docs.sparkSession)
+    names, doc, kid, found_ = docs.columns, unused(docs, "doc"), unused(docs, "kid"), unused(docs, "spans")
+    own = docs.withColumns({doc: F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))), kid: F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))})
+    found = spans(with_key(docs, id_col, text_col), length).select(F.col("doc_id").alias(doc), F.col("kid").alias(kid), F.col("spans").alias(found_))
+    joined = own.join(found, [doc, kid], "left").select(*names, found_)
     at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

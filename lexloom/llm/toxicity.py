@@ -1,19 +1,23 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-A lexical transducer reads words and writes classes (insult, threat, target, negation, reported speech, other). Three
-clause transducers are composed with it: one marks abuse that follows a target, one marks abuse in the scope of a
-negation, one marks abuse inside reported speech. The composed machine reads a clause and emits marked classes with the
-weights of the words that caused them; a document's evidence is the sum over its matched clauses, and a small logistic
-model turns the evidence into a score. Single words score nothing by themselves: only what the machine emits counts.
+A lexical transducer reads words and writes classes (insult, threat, target, negation, reported speech, intent, other).
+Five clause transducers are composed with it: they mark abuse that is aimed at a target, negated, reported, stacked upon
+other insults, or threatened by a verb of intent. Arcs carry factors (FACTORS) by which they scale the weight of the word
+that they mark. The composed machine reads a clause and accepts it under one pattern (PATTERNS), with the weight of its
+whole path; a document's evidence are its clauses, by pattern, and a logistic model fits one weight a pattern.
+
+What counts is the matched clause. A clause in which a single insult stands without target, stack or intent matches only
+the pattern "lone"; its weight is 0 unless labelled text teaches another (PRIOR).
 
 Words of abuse are seeds (below) and what labelled text teaches: words and word beginnings that toxic documents hold and
-others don't. Training reads a bounded sample of labelled rows (`SAMPLE`, least hash first); candidate counts and
-evidence rows that reach the driver are bounded by LEXICON_CANDIDATES and SAMPLE. Scoring reads every whole text, keeps
-one automaton per worker and shuffles nothing.
+others don't; these are read as insults. Training reads a bounded sample of labelled rows (`SAMPLE`, least hash first),
+which is written once; every feature of it is counted, and those whose rates differ enough, LEXICON at most, reach the
+driver, as do SAMPLE rows of evidence. Scoring reads every whole text, keeps one automaton per worker, shuffles nothing.
 
 Defined cases: a null or empty text has no clause and scores as a document without evidence; a null id has no label and
 counts as not held out; rows of labels with the same id count once, toxic if any is; repeated rows give repeated rows;
-other columns are ignored; without labels of both kinds the seeds alone decide, by the fixed weights of PRIOR.
+other columns are ignored, and kept by `reject`, which keeps a text that it scores below the threshold, null ones too;
+without labels of both kinds the seeds alone decide, by the fixed weights of PRIOR; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,10 +33,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows
+from .common import arrow_rows, small_batches, table
 
 SAMPLE = 20_000
-LEXICON_CANDIDATES = 20_000
 LEXICON = 2_000
 #: A learnt entry is found so many times in toxic documents, and there so many times as often as in others, by the
 #: lower bound of that many standard deviations.
@@ -48,15 +51,24 @@ TARGET = "you your yours u they them he him she her people vous tu toi ils elles
 NEGATION = "not never no isn't aren't don't without ne pas jamais nicht kein keine nie sin nunca jamás"
 REPORTED = "said says say called claimed quoted wrote reported dit disait appelé sagte sagt nannte schrieb dijo dice llamó escribió"
 
-CLASSES = ("insult", "threat", "target", "negation", "reported", "other")
-INSULT_, THREAT_, TARGET_, NEGATION_, REPORTED_, OTHER_ = range(6)
+INTENT = "will shall must gonna going want should deserve deserves vais va werde wird voy vamos"
+
+CLASSES = ("insult", "threat", "target", "negation", "reported", "intent", "other")
+INSULT_, THREAT_, TARGET_, NEGATION_, REPORTED_, INTENT_, OTHER_ = range(7)
 CLAUSE_END = re.compile(r"[.!?;:\n]+")
 WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
-#: How many words a negation reaches.
-SCOPE = 3
+#: How many words a negation reaches, and a verb of intent.
+SCOPE, REACH = 3, 4
+#: Symbols are a class plus marks; marks are bits above the classes.
+TARGETED, NEGATED, REPORTED_MARK, STACKED, INTENDED = 8, 16, 32, 64, 128
+SYMBOLS = range(256)
+#: What an arc that sets a mark multiplies the weight of its word by.
+FACTORS = {TARGETED: 1.5, NEGATED: 0.25, REPORTED_MARK: 0.5, STACKED: 1.25, INTENDED: 1.5}
+#: What a clause can be accepted as: the first of these whose marks one of its words has.
+PATTERNS = ("negated", "reported", "targeted", "threat", "stacked", "lone")
+EVIDENCE = (*PATTERNS, "largest", "spread")
 #: Weights without training: intercept, then one per evidence column.
-PRIOR = (-3.0, 0.8, 0.8, 0.2, 0.1, 0.1, 0.0, 0.3)
-EVIDENCE = ("insult", "threat", "targeted", "negated", "reported", "largest", "spread")
+PRIOR = (-3.0, 0.05, 0.1, 1.2, 1.2, 0.9, 0.0, 0.0, 0.0)
 
 
 @dataclass
@@ -85,50 +97,68 @@ class Transducer:
         return Transducer(arcs)
 
 
-#: Symbols are a class plus marks; marks are bits above the six classes.
-TARGETED, NEGATED, REPORTED_MARK = 8, 16, 32
-SYMBOLS = range(64)
-
-
 def base_class(symbol: int) -> int:
     return symbol & 7
 
 
-def target_machine() -> Transducer:
-    """After a target, abuse in the same clause is aimed at it."""
-    arcs = {}
-    for s in SYMBOLS:
-        if base_class(s) == TARGET_:
-            arcs[0, s] = (1, s, 1.0)
-        elif base_class(s) in (INSULT_, THREAT_):
-            arcs[1, s] = (1, s | TARGETED, 1.0)
-    return Transducer(arcs)
+def is_abuse(symbol: int) -> bool:
+    return base_class(symbol) in (INSULT_, THREAT_)
+
 
+def marking(opens: int, mark: int, reach: int | None, marks: tuple[int, ...] = (INSULT_, THREAT_)) -> Transducer:
+    """After a word of one class, abuse of the classes `marks` gets a mark: to the clause's end, or so many words far.
 
-def negation_machine(scope: int = SCOPE) -> Transducer:
-    """The next words after a negation are negated; states count what is left of its scope."""
+    States count the words that are left; without reach, state 1 lasts.
+    """
     arcs = {}
+    full = reach or 1
     for s in SYMBOLS:
-        for left in range(scope + 1):
-            if base_class(s) == NEGATION_:
-                arcs[left, s] = (scope, s, 1.0)
-            elif left:
-                arcs[left, s] = (left - 1, s | NEGATED if base_class(s) in (INSULT_, THREAT_) else s, 1.0)
+        if base_class(s) == opens:
+            for left in range(full + 1):
+                arcs[left, s] = (full, s, 1.0)
+        else:
+            for left in range(1, full + 1):
+                hit = base_class(s) in marks
+                arcs[left, s] = (left - 1 if reach else left, s | mark if hit else s, FACTORS[mark] if hit else 1.0)
     return Transducer(arcs)
 
 
-def report_machine() -> Transducer:
-    """What follows a verb of speech is somebody else's, to the end of the clause."""
+def insult_machine() -> Transducer:
+    """An insult after another one of its clause is stacked; negated and reported ones open no stack."""
     arcs = {}
     for s in SYMBOLS:
-        if base_class(s) == REPORTED_:
+        if base_class(s) == INSULT_ and not s & (NEGATED | REPORTED_MARK):
             arcs[0, s] = (1, s, 1.0)
-        elif base_class(s) in (INSULT_, THREAT_):
-            arcs[1, s] = (1, s | REPORTED_MARK, 1.0)
+            arcs[1, s] = (1, s | STACKED, FACTORS[STACKED])
     return Transducer(arcs)
 
 
-GRAMMAR = target_machine().compose(negation_machine(), SYMBOLS).compose(report_machine(), SYMBOLS)
+def threat_machine() -> Transducer:
+    """Violence near a verb of intent is a threat."""
+    return marking(INTENT_, INTENDED, REACH, (THREAT_,))
+
+
+def grammar() -> Transducer:
+    """All five clause machines composed; what each writes the next one reads."""
+    found = marking(TARGET_, TARGETED, None)
+    for machine in (marking(NEGATION_, NEGATED, SCOPE), marking(REPORTED_, REPORTED_MARK, None), insult_machine(), threat_machine()):
+        found = found.compose(machine, range(8))
+    return found
+
+
+GRAMMAR = grammar()
+
+
+def pattern_of(symbols: list[int]) -> int:
+    """The pattern of a clause's abuse: negated or reported if all of it is, else by what stands out most."""
+    plain = [s for s in symbols if not s & (NEGATED | REPORTED_MARK)]
+    if not plain:
+        return 0 if all(s & NEGATED for s in symbols) else 1
+    if any(s & TARGETED for s in plain):
+        return 2
+    if any(s & INTENDED for s in plain):
+        return 3
+    return 4 if len(plain) > 1 else 5
 
 
 @dataclass
@@ -169,7 +199,7 @@ def entries(text: str, kind: int, weight: float) -> dict[str, tuple[int, float]]
     return dict.fromkeys(text.split(), (kind, weight))
 
 
-CUES = entries(TARGET, TARGET_, 0.0) | entries(NEGATION, NEGATION_, 0.0) | entries(REPORTED, REPORTED_, 0.0)
+CUES = entries(INTENT, INTENT_, 0.0) | entries(TARGET, TARGET_, 0.0) | entries(NEGATION, NEGATION_, 0.0) | entries(REPORTED, REPORTED_, 0.0)
 
 
 SEEDS = entries(INSULT, INSULT_, 2.0) | entries(THREAT, THREAT_, 2.0)
@@ -195,33 +225,36 @@ def clauses(text: str, lexicon: Lexicon) -> Iterator[str]:
         yield text[begin:end]
 
 
+def match(clause: str, lexicon: Lexicon) -> tuple[int, float] | None:
+    """(pattern, weight of its path) of a lower-case clause that the composed machine accepts."""
+    state, total, symbols = GRAMMAR.start, 0.0, []
+    for m in WORD.finditer(clause):
+        kind, weight = lexicon.read(m.group())
+        state, symbol, factor = GRAMMAR.step(state, kind)
+        if is_abuse(symbol):
+            total += weight * factor
+            symbols.append(symbol)
+    return (pattern_of(symbols), total) if symbols else None
+
+
 def evidence(text: str | None, lexicon: Lexicon) -> list[float]:
-    """What the composed machine emits over a text's clauses, by EVIDENCE column.
+    """Matched clauses by EVIDENCE column.
 
-    The first five are weights per hundred words, the sixth is the largest clause's weight and the last the logarithm of
-    the number of matched words.
+    By pattern, the weights of the clauses per hundred words; then the largest clause's weight and the logarithm of the
+    number of matched clauses.
     """
     out = [0.0] * len(EVIDENCE)
     matched = 0
     for clause in clauses((text or "").lower(), lexicon):
-        state, total = GRAMMAR.start, 0.0
-        for m in WORD.finditer(clause):
-            kind, weight = lexicon.read(m.group())
-            state, symbol, factor = GRAMMAR.step(state, kind)
-            if base_class(symbol) not in (INSULT_, THREAT_):
-                continue
-            weight *= factor
-            total += weight
+        if found := match(clause, lexicon):
+            pattern, weight = found
+            out[pattern] += weight
+            out[-2] = max(out[-2], weight)
             matched += 1
-            column = 4 if symbol & REPORTED_MARK else 3 if symbol & NEGATED else base_class(symbol)
-            out[column] += weight
-            if symbol & TARGETED and column < 2:
-                out[2] += weight
-        out[5] = max(out[5], total)
     if matched:
         words = len(text.split())
-        out[:5] = [math.log1p(100 * v / max(words, 1)) for v in out[:5]]
-        out[5], out[6] = math.log1p(out[5]), math.log1p(matched)
+        out[:-2] = [math.log1p(100 * v / max(words, 1)) for v in out[:-2]]
+        out[-2], out[-1] = math.log1p(out[-2]), math.log1p(matched)
     return out
 
 
@@ -255,48 +288,45 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
     return texts.join(F.broadcast(chosen), "doc_id").select("text", (F.col("toxic") > 0).alias("toxic"))
 
 
-def counted(rows: DataFrame, only: set[str] | None = None) -> DataFrame:
-    """How often each feature stands; counts are put together in the worker before the shuffle. "" counts words."""
-    schema = pa.schema([("feature", pa.string()), ("n", pa.int64())])
+def counted(rows: DataFrame) -> DataFrame:
+    """(feature, toxic, clean): how often each feature stands in either; put together in the worker before the shuffle."""
+    schema = pa.schema([("feature", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())])
 
     def run(batches):
-        tally: Counter[str] = Counter()
+        tally: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
+
+        def rows_of() -> dict[str, list]:
+            names = [*{**tally[0], **tally[1]}]
+            out = {"feature": names, "toxic": [tally[0][n] for n in names], "clean": [tally[1][n] for n in names]}
+            tally[0].clear()
+            tally[1].clear()
+            return out
+
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                found = features_of(text or "")
-                own = Counter(found if only is None else filter(only.__contains__, found))
-                tally.update({name: min(n, PER_DOCUMENT) for name, n in own.items()})
-                tally[""] += len((text or "").split())
-                if len(tally) > 400_000:
-                    yield {"feature": list(tally), "n": list(tally.values())}
-                    tally.clear()
-        if tally:
-            yield {"feature": list(tally), "n": list(tally.values())}
-
-    return rows.select("text").mapInArrow(arrow_rows(run, schema), "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
-
-
-def learn_lexicon(rows: DataFrame, n_toxic: int, n_clean: int) -> Lexicon:
-    """Seeds and what the rows teach. Weights are log ratios of rates, less so many standard deviations."""
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own = Counter(features_of(text or ""))
+                tally[0 if toxic else 1].update({name: min(n, PER_DOCUMENT) for name, n in own.items()})
+                if len(tally[0]) + len(tally[1]) > 200_000:
+                    yield rows_of()
+        yield rows_of()
+
+    found = rows.select("text", "toxic").mapInArrow(arrow_rows(run, schema), "feature string, toxic long, clean long")
+    return found.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+
+
+def learn_lexicon(rows: DataFrame, of_toxic: int, of_clean: int) -> Lexicon:
+    """Seeds and what the rows teach, given the words of either kind. Weights are log ratios of rates, less so many standard deviations."""
     lexicon = seeds()
-    if not n_toxic or not n_clean:
-        return lexicon
-    top = counted(rows.where("toxic")).where(F.col("n") >= MIN_TOXIC).orderBy(F.desc("n"), "feature").limit(LEXICON_CANDIDATES)
-    toxic = {r.feature: r.n for r in top.collect()}
-    clean = {r.feature: r.n for r in counted(rows.where("not toxic"), set(toxic)).collect()}
-    of_toxic, of_clean = toxic.pop("", 1), clean.pop("", 1)
-    chosen = []
-    for name, n in toxic.items():
-        other = clean.get(name, 0) + 0.5
-        weight = math.log((n + 0.5) / (of_toxic + 1)) - math.log(other / (of_clean + 1)) - DEVIATIONS * math.sqrt(1 / (n + 0.5) + 1 / other)
-        if weight >= math.log(MIN_RATIO):
-            chosen.append((round(n * weight, 3), len(name), name, round(weight, 6)))
-    # Those that explain most go first; of a beginning and its extensions only one is taken.
-    taken: list[tuple[str, float]] = []
-    for _, _, name, weight in sorted(chosen, reverse=True):
+    t, c = F.col("toxic") + 0.5, F.col("clean") + 0.5
+    weight = F.ln(t / F.lit(of_toxic + 1.0)) - F.ln(c / F.lit(of_clean + 1.0)) - F.lit(DEVIATIONS) * F.sqrt(1 / t + 1 / c)
+    telling = counted(rows).where(F.col("toxic") >= MIN_TOXIC).withColumn("weight", F.round(weight, 6)).where(F.col("weight") >= math.log(MIN_RATIO))
+    # Those that explain most go first; of a beginning and its extensions only one is taken. Extensions are a few a word.
+    first = telling.orderBy(F.desc(F.round(F.col("toxic") * F.col("weight"), 3)), F.desc(F.length("feature")), "feature").limit(LEXICON * (len(PREFIXES) + 1))
+    taken: list[str] = []
+    for name, weight in [(r.feature, r.weight) for r in first.collect()]:
         plain = name.lstrip("=")
-        if len(taken) < LEXICON and not any(plain.startswith(t) or t.startswith(plain) for t, _ in taken if t[0] == plain[0]):
-            taken.append((plain, weight))
+        if len(taken) < LEXICON and not any(plain.startswith(t) or t.startswith(plain) for t in taken if t[0] == plain[0]):
+            taken.append(plain)
             kind = lexicon.words.get(plain, (INSULT_, 0.0))[0]
             (lexicon.words if name[0] == "=" else lexicon.beginnings)[plain] = (kind, weight)
     return lexicon
@@ -328,11 +358,11 @@ class Model:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn the lexicon and the weights from labelled rows that are not held out."""
-    rows = training_rows(docs, labels, sample)
-    sizes = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    lexicon = learn_lexicon(rows, sizes.get(True, 0), sizes.get(False, 0))
+    rows = table(training_rows(docs, labels, sample), "training")
+    sizes = {r.toxic: r.words for r in rows.groupBy("toxic").agg(F.sum(F.size(F.split(F.coalesce("text", F.lit("")), r"\s+"))).alias("words")).collect()}
     if not sizes.get(True) or not sizes.get(False):
-        return Model(lexicon)
+        return Model(seeds())
+    lexicon = learn_lexicon(rows, sizes[True], sizes[False])
     schema = pa.schema([("toxic", pa.bool_()), *((n, pa.float64()) for n in EVIDENCE)])
 
     def run(batches):
@@ -362,6 +392,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def reject(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The documents whose score is below the threshold, with all their columns."""
+    small_batches(docs.sparkSession)
     schema = docs.schema
 
     def run(batches):

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, shared_dir, table, utf8
+from .common import arrow_rows, shared_dir, small_batches, table
 
 CHUNK = 64 << 10
 MIN_REVISIT = 1000
@@ -60,7 +60,7 @@ def page_of(urn: str | None) -> int | None:
     return int(digits) if digits else None
 
 
-def write_record(out, page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> None:
+def write_record(out, page_id: int | None, url: str | None, payload: bytes | pa.Buffer, digest: str, refers_to: int | None) -> None:
     """One record: an HTTP head, then the payload unless the record is a revisit."""
     revisit = refers_to is not None
     http = header([("Content-Type", "text/html; charset=utf-8"), ("Content-Length", str(len(payload)))], "HTTP/1.1 200 OK")
@@ -163,6 +163,7 @@ def revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
 
 def write(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
     """Write every page to archives; returns the archives' paths and numbers of records."""
+    small_batches(pages.sparkSession)
     folder = f"{shared_dir(pages.sparkSession)}/lexloom/warc-{uuid.uuid4().hex}"
     pages = pages.selectExpr("cast(page_id as long) page_id", "cast(url as string) url", "cast(html as string) html")
     rows = pages.withColumn("digest", F.sha1(F.coalesce("html", F.lit("")))).join(revisits(pages, min_bytes), ["page_id", "digest"], "left")
@@ -171,14 +172,16 @@ def write(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
         out, path, n = None, "", 0
         for batch in batches:
-            for page_id, url, html, digest, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            html = batch.column(2)
+            for k, (page_id, url, digest, refers_to) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 1, 3, 4)), strict=True)):
                 if out is None:
                     task = TaskContext.get()
                     fs, base = pa.fs.FileSystem.from_uri(folder)
                     fs.create_dir(base, recursive=True)
                     name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}.warc.gz"
                     out, path = fs.open_output_stream(f"{base}/{name}", compression=None), f"{folder}/{name}"
-                write_record(out, page_id, url, utf8(html), digest, refers_to)
+                # The payload is a view into the batch, whose bytes are limited; it is not copied.
+                write_record(out, page_id, url, html[k].as_buffer() if html[k].is_valid else b"", digest, refers_to)
                 n += 1
         if out is not None:
             out.close()
