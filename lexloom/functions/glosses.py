@@ -6,7 +6,7 @@ import re
 
 from .edits import Marked
 from .formatting import is_damaged, is_literal, plain, statement
-from .references import BIBLIOGRAPHY, clean_definition
+from .references import clean_definition, is_dated
 
 # Beginnings of glosses that describe a form of another entry.
 FORM_PREFIXES = """
@@ -71,7 +71,7 @@ def clean(gloss: str) -> str | None:
     """A gloss as a statement; "" if it only points elsewhere, None if it is damaged."""
     literal = is_literal(gloss)
     value = plain(Marked(gloss), keep_markup=literal)
-    if (not literal and is_damaged(value.text)) or BIBLIOGRAPHY.match(value.text):
+    if (not literal and is_damaged(value.text)) or is_dated(value.text):
         return None
     if not literal:
         value = clean_definition(value)

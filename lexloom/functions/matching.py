@@ -9,8 +9,9 @@ from collections.abc import Sequence
 from .wikitext import read_template, templates
 
 LEAST = 0.7
-#: Almost all of a definition found in a longer sense counts as much as an equal one.
-COVERED, SHARE = 0.85, 0.3
+# A definition of so many words, covered to this part by a longer sense of which it is this share at least,
+# scores the least similarity and so much more for its share.
+WORDS, COVERED, SHARE, STEP = 2, 0.85, 0.3, 0.2
 
 
 def tokens(text: str) -> list[str]:
@@ -31,8 +32,8 @@ def similarity(written: Sequence[str], parsed: Sequence[str]) -> float:
     matcher = difflib.SequenceMatcher(None, written, parsed, autojunk=False)
     ratio = matcher.ratio()
     same = sum(b.size for b in matcher.get_matching_blocks())
-    if written and parsed and same >= COVERED * len(written) and same >= SHARE * len(parsed):
-        ratio = max(ratio, same / len(written))
+    if parsed and len(written) >= WORDS and same >= COVERED * len(written) and same >= SHARE * len(parsed):
+        ratio = max(ratio, LEAST + STEP * same / len(parsed))
     return ratio
 
 

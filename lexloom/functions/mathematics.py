@@ -15,7 +15,8 @@ SYMBOLS = {
 }
 ALPHABETS = {"DOUBLE-STRUCK": "mathbb", "SCRIPT": "mathcal", "FRAKTUR": "mathfrak", "BLACK-LETTER": "mathfrak", "BOLD": "mathbf", "ITALIC": "mathit"}
 GREEK = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega"
-GROUPED = frozenset({"mathbb", "mathcal", "mathfrak", "mathbf", "mathit", "frac", "dfrac", "tfrac", "sqrt", "operatorname", "text"})
+# Commands that take an argument in braces.
+GROUPED = frozenset({"dfrac", "frac", "mathbb", "mathbf", "mathcal", "mathfrak", "mathit", "operatorname", "sqrt", "text", "tfrac"})
 COMMANDS = frozenset(SYMBOLS.values()) | GROUPED | frozenset(GREEK.split()) | frozenset(
     "times div surd ldots cdots le ge ne log ln sin cos tan lim max min sup inf det dim ker left right quad vec hat bar overline underline prime ell Gamma Delta Theta Lambda Xi Pi Sigma Phi Psi Omega".split()
 )

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from .edits import Marked, Span
 from .formatting import is_damaged, is_literal, plain, statement
-from .references import METADATA, NAVIGATION, drop_references
+from .references import drop_references, is_metadata, is_navigation
 
 I = re.IGNORECASE  # noqa: E741
 EM = "\u2003"
@@ -29,8 +29,6 @@ _VOLUME_LINE = re.compile(r"^,?\s*[^\n]*\b(?:book|chapter|volume|vol\.|no\.?|act
 _ABBREVIATED_LINE = re.compile(r"^(?:[A-Z][a-z]{0,5}\.\s*){2,}$")
 _TAIL = re.compile(r"\s*[—–-]\s*[A-Z][^\n.!?]*?,\s*(?:1[0-9]{3}|20[0-9]{2})\.?$")
 _OPEN_TAIL = re.compile(r"\s*\([A-Z][^()\n]*?,\s*(?:1[0-9]{3}|20[0-9]{2})\)?$")
-_READ_AT = re.compile(r"^(?:[ac]\.?\s?)?(?:1[0-9]{3}|20[0-9]{2})\s*:[^\n]*?\bread at\b[^\n]*?\s-\s")
-_PUBLISHED = re.compile(r"\s*\[published in [^\[\]]*\]$", I)
 _STANDALONE = re.compile(r"^(?:[A-Z][\w.'’-]+,\s[^\n]*?\b(?:1[0-9]{3}|20[0-9]{2})\b\.?\s*[\"“][^\n]*[0-9]|(?:[ac]\.?\s?)(?:1[0-9]{3}|20[0-9]{2}),\s[A-Z][^\n]*)")
 _IDENTIFIER = re.compile(r"\s*[\[(]?(?:ISBN|ISSN|OCLC|DOI)[ :]*[0-9][0-9Xx/.–-]*[\])]?", I)
 
@@ -80,12 +78,31 @@ def is_bibliography(text: str) -> bool:
     return "\n" not in text and bool(_STANDALONE.match(text))
 
 
+def drop_lead(value: Marked) -> Marked:
+    """A dated source that was read aloud somewhere, up to the dash before the text."""
+    line = value.text.split("\n")[0]
+    source, dash, _ = line.partition(" - ")
+    date, colon, place = source.partition(":")
+    if dash and colon and year_of(date) is not None and len(date) <= 8 and " read at " in f" {place} ":
+        return value.apply([(0, len(source) + len(dash), "")])
+    return value
+
+
+def drop_edition(value: Marked) -> Marked:
+    """A closing note in square brackets that says where a text was published."""
+    text = value.text.rstrip()
+    at = text.rfind("[")
+    if at >= 0 and text.endswith("]") and "]" not in text[at:-1] and text[at + 1 :].lower().startswith("published in "):
+        return value.apply([(len(text[:at].rstrip()), len(value.text), "")])
+    return value
+
+
 def drop_bibliography(value: Marked) -> Marked:
     """Source details around an unquoted example."""
     first, newline, body = value.text.partition("\n")
     if newline and body.strip() and (_DATED_LINE.match(first) or _VOLUME_LINE.match(first) or _ABBREVIATED_LINE.match(first.strip())):
         value = value.cut(len(first) + 1, len(value.text))
-    value = value.sub(_READ_AT, "").sub(_PUBLISHED, "")
+    value = drop_edition(drop_lead(value))
     if _URL.search(value.text):
         value = value.sub(re.compile(r"(?<=[0-9])https?://\S+$"), "").sub(_URL, "").strip()
     return value.sub(_TAIL, "").sub(_OPEN_TAIL, "").sub(_IDENTIFIER, "").strip()
@@ -104,7 +121,7 @@ def clean_sentence(value: Marked, quoted: bool, typed: bool) -> Marked | None:
         if not value.text or is_damaged(value.text):
             return None
         if not quoted:
-            if METADATA.match(value.text) or NAVIGATION.match(value.text) or _EDITORIAL.match(value.text) or (not typed and is_bibliography(value.text)):
+            if is_metadata(value.text) or is_navigation(value.text) or _EDITORIAL.match(value.text) or (not typed and is_bibliography(value.text)):
                 return None
             value = drop_references(value, explicit=True)
     if not value.text or (not quoted and _NUMERIC.match(value.text)) or not any(c.isalnum() for c in value.text):

@@ -7,7 +7,7 @@ import re
 
 from .edits import Marked
 from .formatting import is_damaged, plain, statement
-from .references import BIBLIOGRAPHY, METADATA, NAVIGATION, drop_references
+from .references import drop_references, is_dated, is_metadata, is_navigation
 from .wikitext import WORD_TEMPLATES, read_template
 
 # Headings that name no sense, and languages in which "See" is a word.
@@ -97,9 +97,9 @@ def clean(language: str, word: str) -> tuple[str, frozenset[str]] | None:
     if not _CODE.fullmatch(language):
         return None
     text = plain(Marked(word)).text
-    if not text or is_damaged(text) or re.search(r"[{}<>]|\[\[|\]\]", text) or METADATA.match(text) or _EDITORIAL.search(text):
+    if not text or is_damaged(text) or re.search(r"[{}<>]|\[\[|\]\]", text) or is_metadata(text) or _EDITORIAL.search(text):
         return None
-    if NAVIGATION.match(text) or (re.match(r"see\s", text, I) and not (language.split("-")[0] in SEA_LANGUAGES and text[0] == "S")):
+    if is_navigation(text) or (re.match(r"see\s", text, I) and not (language.split("-")[0] in SEA_LANGUAGES and text[0] == "S")):
         return None
     if re.fullmatch(r"[\[(<].*(?:please|verify|term|word|translation).*[\])>]", text, I):
         return None
@@ -118,9 +118,9 @@ def clean(language: str, word: str) -> tuple[str, frozenset[str]] | None:
 def heading(text: str) -> str:
     """A table's heading as a statement; "" if it names no sense."""
     value = drop_references(plain(Marked(text)))
-    if is_damaged(value.text) or re.search(r"\[\[|\]\]", value.text) or BIBLIOGRAPHY.match(value.text) or value.text.strip(" .:").casefold() in PLACEHOLDERS:
+    if is_damaged(value.text) or re.search(r"\[\[|\]\]", value.text) or is_dated(value.text) or value.text.strip(" .:").casefold() in PLACEHOLDERS:
         return ""
-    if NAVIGATION.match(value.text) or re.match(r"see\s+\S", value.text, I):
+    if is_navigation(value.text) or re.match(r"see\s+\S", value.text, I):
         return ""
     return statement(plain(value, keep_markup=True)).text
 

@@ -104,6 +104,17 @@ def span_row(s: Span) -> dict:
     return {"start": s.start, "end": s.end, "sources": list(s.sources)}
 
 
+def nested(word: str) -> bool:
+    """Whether round and square brackets close in the order in which they open."""
+    held = []
+    for c in word:
+        if c in "([":
+            held.append(c)
+        elif c in ")]" and (not held or held.pop() + c not in ("()", "[]")):
+            return False
+    return not held
+
+
 def synonyms(words: list[str | None], headword: str) -> list[str]:
     """Distinct synonyms, without notes; those that are broken, unbalanced or the headword itself go."""
     import re
@@ -111,8 +122,7 @@ def synonyms(words: list[str | None], headword: str) -> list[str]:
     out = []
     for word in words:
         word = re.sub(r"\s*[\[(](?:⇒\s*)?(?:thesaurus|slang)[\])]", "", word or "", flags=re.IGNORECASE).strip()
-        depth = [word.count(a) - word.count(b) for a, b in ("()", "[]")]
-        if any(c.isalnum() for c in word) and word != headword and word[-1] not in ":,;" and not re.search(r"\{\{|\}\}|\[\[|\]\]", word) and not any(depth):
+        if any(c.isalnum() for c in word) and word != headword and word[-1] not in ":,;" and not re.search(r"\{\{|\}\}|\[\[|\]\]", word) and nested(word):
             out.append(word)
     return list(dict.fromkeys(out))
 

@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lexloom.functions import alignment, formatting, glosses, identifiers, matching, mathematics, offsets, sentences, translations, wikitext
+from lexloom.functions import alignment, formatting, glosses, identifiers, matching, mathematics, offsets, references, sentences, translations, wikitext
 from lexloom.functions.edits import Marked, Span, shift
 
 settings.register_profile("quick", deadline=None, max_examples=150)
@@ -176,3 +176,40 @@ def test_responses():
     assert alignment.remaining("translations", {"s9": []}, [{"id": "s1"}], [])[0] == {}
     with pytest.raises(ValueError):
         alignment.select_stages(["remaining", "a"], ["a"])
+
+
+@pytest.mark.parametrize(
+    ("written", "expected"),
+    [
+        ("A tool (large; see Usage notes).", "A tool (large)."), ("See shut, for: Closed by force.", "Closed by force."), ("See. vide(te)", "See. vide(te)."),
+        ("A bird (but see also its kin), small.", "A bird, small."), ("A rule (for more on this, see the table).", "A rule."), ("A cloth cf. felt.", "A cloth."),
+        ("Real Town CF.", "Real Town CF."), ("A bishop's see: a title.", "A bishop's see: a title."), ("A sense (see, hear, feel).", "A sense (see, hear, feel)."),
+        ("A plant (see Moss Day (Town), etc.", "A plant."), ("A word https://a.example/b, https://c.example/d.", "A word."), ("A fly. Compare gnat (bug (small)) and midge.", "A fly."),
+        ("To see ahead; see clearly; know.", "To see ahead; see clearly; know."), ("For other uses, see the list.", ""), ("A page (https://a.example/b) here.", "A page here."),
+    ],
+)
+def test_pointers_go_and_meanings_stay(written, expected):
+    assert glosses.clean(written) == expected
+
+
+@pytest.mark.parametrize(
+    ("text", "navigation", "metadata", "dated"),
+    [
+        ("See also quotes under x", True, False, False), ("See you at five.", False, False, False), (". Compare rain.", True, False, False), ("For examples, see Citations:x", True, False, False),
+        ("Near-synonyms: a, b", False, True, False), ("Usage note: x", False, True, False), ("Synonymy: x", False, False, False),
+        ("1987, Jane Roe, Title", False, False, True), ("c. 1605-06: A Play", False, False, True), ("2013 May 4, A Paper", False, False, True), ("1987 was a year, Jane said", False, False, False), ("987, Jane", False, False, False),
+    ],
+)
+def test_kinds_of_lines(text, navigation, metadata, dated):
+    assert (references.is_navigation(text), references.is_metadata(text), references.is_dated(text)) == (navigation, metadata, dated)
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("[[a#b]] [[c|d]] [[[e]]]", "a d [e]"), ("x<sup>2</sup><sub>n</sub>", "x^{2}_{n}"), ("a<br/>b", "a\nb"), ("<b>a</b> <u>b</u>", "a <u>b</u>"), ("&amp;lt; #x41;", "< A"), ("a^([sic]) b", "a b"),
+        ("'''''a''''' isn't", "a isn't"), ("a<ref name=x>y</ref>b<ref name=z/>", "ab"), ("a​b­c", "abc"), ("[[a]", "[[a]"),
+    ],
+)
+def test_markup(text, expected):
+    assert formatting.plain(Marked(text)).text == expected
