@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import argparse
+import contextlib
 import json
 import os
+import shutil
 import sys
-import tempfile
+import uuid
 import urllib.request
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-from .functions import alignment
+from .functions import alignment, inference, offsets
 from .operators.decisions import FIELDS
 from .plans import align, collect, markdown, sidetables, sinks
 from .sources import files, records, remote
@@ -63,7 +65,7 @@ def parser() -> argparse.ArgumentParser:
     own.add_argument("--pos", action="append")
     own.add_argument("--min-year", type=int)
     own.add_argument("--max-year", type=int)
-    own.add_argument("--engine", default="forms")
+    own.add_argument("--engine", default="forms", help="forms, or module:function that finds forms in a sentence")
     own.add_argument("--batch-size", type=positive, default=8)
     own.add_argument("--output-dir", type=Path, default=Path("senses"))
     own.add_argument("--compression", choices=("gz", "bz2", "zst"))
@@ -72,7 +74,7 @@ def parser() -> argparse.ArgumentParser:
     own.add_argument("--task", action="append", choices=tuple(alignment.RELATIONS))
     own.add_argument("--synsets", type=Path)
     own.add_argument("--synset-source", action="append", default=[])
-    own.add_argument("--model", default="stub")
+    own.add_argument("--model", default="stub", help="stub, or module:function that answers prompts")
     own.add_argument("--gloss-mode", choices=("full", "leaf"), default="full")
     own.add_argument("--prompts", type=Path)
     own.add_argument("--temperature", type=temperature, default=0.0)
@@ -125,8 +127,12 @@ def run_collect(args: argparse.Namespace, spark: SparkSession) -> None:
     date = remote.fetched_date(args.cache_dir, args.dump_date)
     folder, resources = remote.dump_dir(args.cache_dir, date), remote.resource_dir(args.cache_dir, date)
     entries = files.read_entries(spark, str(files.existing(folder / ENTRIES) or _missing(folder / ENTRIES)))
+    try:
+        locate = offsets.match_forms if args.engine == "forms" else inference.imported(args.engine)
+    except (ImportError, AttributeError, ValueError) as error:
+        raise SystemExit(f"no such engine: {args.engine}") from error
     side = {n: spark.read.parquet(str(resources / n)) if (resources / n).exists() else None for n in SIDE}
-    lemmas = collect.collect(entries, args.pos, args.min_year, args.max_year, markup=side["markup_index"], wikidata=side["wikidata_ids"], off_page=side["off_page_translations"]).persist()
+    lemmas = collect.collect(entries, args.pos, args.min_year, args.max_year, markup=side["markup_index"], wikidata=side["wikidata_ids"], off_page=side["off_page_translations"], locate=locate).persist()
     found = collect.statistics(lemmas)
     name = SENSES + (f".{args.compression}" if args.compression else "")
     with sinks.published(args.output_dir) as staging:
@@ -144,28 +150,39 @@ def run_align(args: argparse.Namespace, spark: SparkSession) -> None:
     if args.output_dir.is_file() or args.output_dir.resolve() in (args.input.resolve(), args.input.resolve().parent):
         raise SystemExit("the output must be a folder of its own")
     tasks = args.task or ["translations"]
+    prompts = records.read_prompts(args.prompts) if args.prompts else None
+    own = {"temperature": args.temperature, "maximum_tokens": args.maximum_tokens, **dict(args.engine_option)} if args.model != "stub" else {}
+    try:
+        model = inference.load(args.model, prompts, args.gloss_mode, own)
+    except (ImportError, AttributeError, ValueError) as error:
+        raise SystemExit(f"no such model: {args.model}") from error
     if "synsets" in tasks and args.synsets is None:
         raise SystemExit("--synsets is needed")
     lemmas = records.read_lemmas(spark, str(args.input))
     names = []
-    with sinks.published(args.output_dir) as staging, tempfile.TemporaryDirectory() as work:
+    # Beside the output, which executors write to as well.
+    work = args.output_dir.resolve().parent / f".{args.output_dir.name}-{uuid.uuid4().hex}"
+    work.mkdir(parents=True)
+    with sinks.published(args.output_dir) as staging, contextlib.ExitStack() as after:
+        after.callback(shutil.rmtree, work, ignore_errors=True)
         for task in tasks:
             cache = records.read_decisions(spark, str(args.reuse / f"{task}.tsv") if args.reuse else "")
             if task == "translations":
                 queries = align.translation_queries(lemmas)
-                align.decide(queries, cache, task, batch_size=args.batch_size).write.parquet(f"{work}/{task}")
+                align.decide(queries, cache, task, model, args.batch_size).write.parquet(f"{work}/{task}")
                 decided = spark.read.parquet(f"{work}/{task}")
                 lemmas = align.apply_translations(lemmas, queries, decided)
             else:
-                lemmas, decided = align.align_stages(lemmas, records.read_synsets(spark, str(args.synsets)), args.synset_source, cache, work)
+                lemmas, decided = align.align_stages(lemmas, records.read_synsets(spark, str(args.synsets)), args.synset_source, cache, str(work), model)
             rows = decided.orderBy("alignment_id", "source_id", "target_id").toLocalIterator()
             sinks.write_tsv((r.asDict() for r in rows), staging / f"{task}.tsv", FIELDS)
             (staging / "reports").mkdir(exist_ok=True)
             sinks.write_json(align.report(decided, task), staging / "reports" / f"{task}.json")
             names += [f"{task}.tsv", f"reports/{task}.json"]
         sinks.write_json_lines(collect.exported(lemmas), staging / SENSES, "ord" if "ord" in lemmas.columns else None)
-        settings = {"model": args.model, "gloss_mode": args.gloss_mode, "temperature": args.temperature, "maximum_tokens": args.maximum_tokens}
-        sinks.write_json(markdown.alignment_manifest(str(args.input), tasks, settings, str(args.prompts or "default"), args.synset_source or None, [*names, SENSES]), staging / sinks.MANIFEST)
+        # What was used: the stub reads no prompt and has no options.
+        settings = {"model": args.model} | ({"gloss_mode": args.gloss_mode, "batch_size": args.batch_size, **own} if args.model != "stub" else {})
+        sinks.write_json(markdown.alignment_manifest(str(args.input), tasks, settings, "none" if args.model == "stub" else str(args.prompts or "default"), args.synset_source or None, [*names, SENSES]), staging / sinks.MANIFEST)
 
 
 def main(argv: list[str] | None = None) -> int:

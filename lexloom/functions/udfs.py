@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import collections
 from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
 from ..schema import SENSE, SENTENCE
-from . import glosses, identifiers, matching, offsets, sentences, translations, wikitext
+from . import alignment, glosses, identifiers, matching, offsets, sentences, translations, wikitext
 from .edits import Marked, Span
 from .formatting import is_damaged, is_literal, plain, statement
 from .mathematics import latexize
@@ -46,6 +47,13 @@ sense_id = arrow("string")(lambda lemma, pos, etymology, g: identifiers.sense_id
 table_id = arrow("string")(identifiers.table_id)
 similarity = arrow("double")(lambda a, b: None if a is None or b is None else matching.similarity(a.casefold().split(), b.casefold().split()))
 has_headword = arrow("boolean")(lambda text, word: None if text is None or word is None else offsets.contains_headword(text, word))
+headword_shape = arrow("string")(nullable(offsets.headword_shape))
+year_of = arrow("int")(nullable(sentences.year_of))
+balanced = arrow("boolean")(nullable(lambda t: nested(t)))
+kept_synonyms = arrow("array<string>")(lambda words, headword: synonyms(list(words), headword))
+form_counts = arrow("map<string,int>")(lambda text, forms: dict(collections.Counter(text[a:b].casefold() for a, b in offsets.match_forms(text or "", list(forms)))))
+valid_decisions = arrow("boolean")(lambda task, links, sources, targets: alignment.is_valid(task, {x["source_id"]: [{k: y[k] for k in ("target_id", "relation", "reason")} for y in x["links"]] for x in links}, list(sources), list(targets)))
+similar_words = arrow("double")(lambda a, b: matching.similarity(list(a or ()), list(b or ())))
 template_names = arrow("array<string>")(nullable(lambda t: [found.name for raw in wikitext.templates(t) if (found := wikitext.read_template(raw))]))
 
 
@@ -127,6 +135,16 @@ def synonyms(words: list[str | None], headword: str) -> list[str]:
     return list(dict.fromkeys(out))
 
 
+RANGE = "struct<start:int,end:int,sources:array<string>>"
+
+
+@arrow(f"struct<ranges:array<{RANGE}>,relation:string>")
+def merged_ranges(spans: list):
+    """Ranges by place with all their sources, and how the sources relate."""
+    found = offsets.merge([Span(o["start"], o["end"], tuple(o["sources"])) for o in spans or ()])
+    return {"ranges": [span_row(x) for x in found], "relation": offsets.relation(found)}
+
+
 def locator(locate: Callable[[str, list[str]], list[tuple[int, int]]] = offsets.match_forms):
     """The UDF that finds the forms of an entry in its sentences; locate is the plug-in, by default a pattern."""
 

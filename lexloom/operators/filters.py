@@ -34,10 +34,6 @@ def starts_with_any(gloss: Column, prefixes: list[str]) -> Column:
     return F.exists(F.array(*map(F.lit, prefixes)), lambda p: (plain == p) | F.startswith(plain, F.concat(p, F.lit(" "))))
 
 
-def any_gloss(glosses: Column, prefixes: list[str]) -> Column:
-    return F.exists(glosses, lambda g: starts_with_any(g, prefixes))
-
-
 def is_form(tags: Column) -> Column:
     return F.arrays_overlap(tags, F.array(F.lit("form-of"), F.lit("alt-of")))
 
@@ -54,24 +50,6 @@ def year_within(reference: Column, year: Column, least: int | None, most: int |
     return reference.isNull() | inside
 
 
-def balanced(col: Column) -> Column:
-    """Whether round and square brackets nest."""
-    def turn(acc: Column, c: Column) -> Column:
-        top = F.substring(acc, -1, 1)
-        return (
-            F.when(acc == "!", acc).when(c.isin("(", "["), F.concat(acc, c))
-            .when((c == ")") & (top == "("), F.substring(acc, F.lit(1), F.length(acc) - 1))
-            .when((c == "]") & (top == "["), F.substring(acc, F.lit(1), F.length(acc) - 1))
-            .when(c.isin(")", "]"), F.lit("!")).otherwise(acc)
-        )
-
-    return F.aggregate(F.filter(F.split(col, ""), lambda c: c.isin("(", ")", "[", "]")), F.lit(""), turn) == ""
-
-
-def keep_synonym(word: Column, headword: Column) -> Column:
-    return word.rlike(r"[\p{L}\p{N}]") & (word != headword) & ~word.rlike("[:,;]$") & ~word.rlike(r"\{\{|\}\}|\[\[|\]\]") & balanced(word)
-
-
 def page_may_hold(markup: Column, *needles: str) -> Column:
     """A cheap test before the parser: Catalyst can't derive it from an opaque function."""
     found = F.lit(False)

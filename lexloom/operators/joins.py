@@ -63,7 +63,7 @@ def pending(queries: DataFrame, cache: DataFrame, key: str) -> DataFrame:
     return queries.join(cache.select(key).distinct(), key, "left_anti")
 
 
-def apply_links(rows: DataFrame, links: DataFrame, key: str, target: str) -> DataFrame:
+def apply_links(rows: DataFrame, links: DataFrame, key: str, target: str, kind: str = "string") -> DataFrame:
     """Rows with the sorted array of their linked targets; empty if none."""
-    grouped = links.groupBy(key).agg(F.sort_array(F.collect_set(target)).alias("targets"))
-    return look_up(rows, grouped, [key], {"targets": F.array().cast("array<string>")})
+    grouped = links.groupBy(key).agg(F.sort_array(F.collect_set(target)).cast(f"array<{kind}>").alias("targets"))
+    return look_up(rows, grouped, [key], {"targets": F.array().cast(f"array<{kind}>")})

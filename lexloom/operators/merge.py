@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def in_order(value: Column, ordinal: Column) -> Column:
@@ -18,37 +17,26 @@ def append_absent(lists: Column, kind: str = "string") -> Column:
 
 
 def first_seen(rows: DataFrame, key: list[str], ordinal: str) -> DataFrame:
-    """The first row of each key."""
-    order = Window.partitionBy(*key).orderBy(ordinal)
-    return rows.withColumn("__at", F.row_number().over(order)).where("__at = 1").drop("__at")
+    """The first row of each key; partial results are one row a key and task, however many rows a key has."""
+    rest = [F.col(c) for c in rows.columns if c not in key]
+    found = rows.groupBy(*key).agg(F.min_by(F.struct(*rest), ordinal).alias("first"))
+    return found.select(*[c if c in key else F.col("first")[c].alias(c) for c in rows.columns])
 
 
-def merge_entities(rows: DataFrame, key: str, ordinal: str, text: str, labels: str) -> DataFrame:
-    """One row a key, in first-seen order: texts in order, labels as a sorted set."""
-    return rows.groupBy(key).agg(
-        F.min(ordinal).alias("first"), in_order(F.col(text), F.col(ordinal)).alias("texts"), F.sort_array(F.collect_set(labels)).alias("labels")
-    )
-
-
-def gather_variants(rows: DataFrame, target: str, variant: str) -> DataFrame:
-    """The variants of each target; an entry is no variant of itself."""
-    return rows.where(F.col(target) != F.col(variant)).groupBy(target).agg(F.sort_array(F.collect_set(variant)).alias("variants"))
+def gather_variants(rows: DataFrame, target: str, variant: str, by: str | None = None) -> DataFrame:
+    """The variants of each target, or of what it is called by; an entry is no variant of itself."""
+    return rows.where(F.col(target) != F.col(variant)).groupBy(by or target).agg(F.sort_array(F.collect_set(variant)).alias("variants"))
 
 
-def merge_tables(rows: DataFrame, entry: str, gloss: str, language: str, word: str, label: str, ordinal: str) -> DataFrame:
-    """Translation tables: words by language as a set, the last non-empty label of each, in first-seen order."""
-    return rows.groupBy(entry, gloss, language).agg(
+def merge_tables(rows: DataFrame, key: list[str], word: str, label: str, ordinal: str) -> DataFrame:
+    """Translation tables by entry, gloss and language: words as a set, the last non-empty label, and when first seen."""
+    return rows.groupBy(*key).agg(
         F.min(ordinal).alias("first"),
         F.sort_array(F.collect_set(word)).alias("words"),
         F.max_by(F.nullif(F.col(label), F.lit("")), F.when(F.nullif(F.col(label), F.lit("")).isNotNull(), F.col(ordinal))).alias("label"),
     )
 
 
-def merge_offsets(rows: DataFrame, owner: list[str], start: str = "start", end: str = "end", source: str = "source") -> DataFrame:
-    """One row for each range of an owner, with all sources that propose it."""
-    return rows.groupBy(*owner, start, end).agg(F.array_join(F.sort_array(F.collect_set(source)), "+").alias("sources"))
-
-
 def known_keys(rows: DataFrame, entry: str, key: str, complete: Column) -> DataFrame:
     """For each entry the keys that are never incomplete."""
     grouped = rows.groupBy(entry).agg(F.collect_set(key).alias("all"), F.collect_set(F.when(~complete, F.col(key))).alias("open"))

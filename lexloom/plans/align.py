@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import alignment
+from ..functions import alignment, inference
 from ..functions.identifiers import query_id
 from ..operators import decisions as rows_of
 from ..operators import joins
@@ -91,7 +91,8 @@ def decide(queries: DataFrame, cache: DataFrame, task: str, model: Model = align
 
         def flush() -> pd.DataFrame:
             open_ = [h for h in held if h[2] and h[3]]
-            answers = dict(zip([h[0]["alignment_id"] for h in open_], model([{"task": task, "lemma": h[0]["lemma"], "pos": h[0]["pos"], "sources": h[2], "targets": h[3]} for h in open_]) if open_ else [], strict=True))
+            asked = [{"task": task, "lemma": h[0]["lemma"], "pos": h[0]["pos"], "sources": h[2], "targets": h[3]} for h in open_]
+            answers = dict(zip([h[0]["alignment_id"] for h in open_], inference.answer(model, asked), strict=True))
             out = []
             for query, kept, sources, targets in held:
                 result = dict(kept)
@@ -142,11 +143,11 @@ def apply_translations(lemmas: DataFrame, queries: DataFrame, decided: DataFrame
 def apply_synsets(lemmas: DataFrame, queries: DataFrame, decided: DataFrame) -> DataFrame:
     """Lemmas with the synset links of their senses appended to `synsets`, an array of (sense_id, synset_id, relation)."""
     links = decided.where("target_id <> ''").join(queries.select("alignment_id", "lemma_id"), "alignment_id")
-    per = links.groupBy("lemma_id").agg(F.sort_array(F.collect_set(F.struct(F.col("source_id").alias("sense_id"), F.col("target_id").alias("synset_id"), "relation"))).alias("new"))
-    kind = "array<struct<sense_id:string,synset_id:string,relation:string>>"
-    before = F.col("synsets") if "synsets" in lemmas.columns else F.array().cast(kind)
-    joined = lemmas.join(per, lemmas.id == per.lemma_id, "left").drop("lemma_id")
-    return joined.withColumn("synsets", F.concat(before, F.coalesce("new", F.array()).cast(kind))).drop("new")
+    kind = "struct<sense_id:string,synset_id:string,relation:string>"
+    named = links.select(F.col("lemma_id").alias("id"), F.struct(F.col("source_id").alias("sense_id"), F.col("target_id").alias("synset_id"), "relation").alias("link"))
+    before = F.col("synsets") if "synsets" in lemmas.columns else F.array().cast(f"array<{kind}>")
+    columns = [c for c in lemmas.columns if c != "synsets"]
+    return joins.apply_links(lemmas, named, "id", "link", kind).select(*columns, F.concat(before, "targets").alias("synsets"))
 
 
 def align_stages(lemmas: DataFrame, synsets: DataFrame, stages: list[str], cache: DataFrame, work: str, model: Model = alignment.stub_model) -> tuple[DataFrame, DataFrame]:

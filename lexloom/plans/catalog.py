@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import native, udfs
+from ..functions import udfs
 from ..operators import decisions, filters, joins, merge, ordering, reports
 from . import align, collect
 
@@ -93,7 +93,7 @@ def year_bounds(t):
     WHERE regexp_matches(w, '[A-Za-z0-9]') AND w <> p_name AND NOT regexp_matches(w, '[:,;]$') AND length(w) - length(replace(w, '(', '')) = length(w) - length(replace(w, ')', ''))""")
 def synonym_filter(t):
     words = F.array("p_name", F.concat("p_brand", F.lit(";")), F.col("p_type"), F.concat(F.lit("("), "p_brand"), F.concat(F.lit("["), "p_brand", F.lit("]")))
-    return t.part.select("p_partkey", "p_name", F.explode(words).alias("synonym")).where(filters.keep_synonym(F.col("synonym"), F.col("p_name"))).select("p_partkey", "synonym")
+    return t.part.select("p_partkey", F.explode(udfs.kept_synonyms(words, "p_name")).alias("synonym"))
 
 
 @query(r"SELECT conv_id, turn, regexp_replace(chr(9) || text || chr(10), '^[ \t\n]+|[ \t\n]+$', '', 'g') AS plain FROM conversations")
@@ -106,9 +106,9 @@ def narrow_json(t):
     return t.events.select("event_id", F.from_json("props", "k bigint")["k"].alias("k")).where("k > 50")
 
 
-@query("SELECT page_id, url FROM pages WHERE contains(lower(html), '<table') OR contains(lower(html), '&nbsp;')")
+@query("SELECT page_id, url FROM pages WHERE contains(lower(html), '<table') OR contains(lower(html), '&amp;')")
 def page_prefilter(t):
-    return t.pages.where(filters.page_may_hold(F.col("html"), "<table", "&nbsp;")).select("page_id", "url")
+    return t.pages.where(filters.page_may_hold(F.col("html"), "<table", "&amp;")).select("page_id", "url")
 
 
 @query("SELECT doc_id FROM documents WHERE trim(source, ' ') <> '' AND n_chars > 0")
@@ -184,12 +184,11 @@ def unique_fallback(t):
     return joins.unique_fallback(both.where("o_orderstatus = 'O' and o_totalprice > 200000"), both.where("o_orderstatus = 'F' and o_totalprice > 150000"), "c_custkey", "o_orderkey")
 
 
-@query("""SELECT p.doc_id AS entry_id, t.doc_id AS target_id, p.gloss FROM (SELECT doc_id, split_part(text, chr(10), 1) AS gloss FROM documents WHERE doc_id % 2 = 0) p
-    JOIN (SELECT doc_id, split_part(text, chr(10), 1) AS gloss FROM documents WHERE doc_id % 2 = 1) t ON t.doc_id = p.doc_id + 1 WHERE substr(p.gloss, 1, 1) = substr(t.gloss, 1, 1)""")
+@query("""SELECT p.doc_id AS entry_id, t.doc_id AS target_id, p.gloss FROM (SELECT doc_id, text AS gloss, lang FROM documents WHERE doc_id % 2 = 0) p
+    JOIN (SELECT doc_id, lang FROM documents WHERE doc_id % 2 = 1) t ON t.doc_id = p.doc_id + 1 WHERE p.lang = t.lang""")
 def pointer_resolution(t):
-    first = t.documents.select("doc_id", F.substring_index("text", "\n", 1).alias("gloss"))
-    pointers = first.where("doc_id % 2 = 0").select(F.col("doc_id").alias("entry_id"), (F.col("doc_id") + 1).alias("target_id"), "gloss", F.substring("gloss", 1, 1).alias("gloss_key"))
-    tables = first.where("doc_id % 2 = 1").select(F.col("doc_id").alias("entry_id"), F.substring("gloss", 1, 1).alias("gloss_key"))
+    pointers = t.documents.where("doc_id % 2 = 0").select(F.col("doc_id").alias("entry_id"), (F.col("doc_id") + 1).alias("target_id"), F.col("text").alias("gloss"), F.col("lang").alias("gloss_key"))
+    tables = t.documents.where("doc_id % 2 = 1").select(F.col("doc_id").alias("entry_id"), F.col("lang").alias("gloss_key"))
     return joins.resolve_pointers(pointers, tables).select("entry_id", "target_id", "gloss")
 
 
@@ -217,20 +216,22 @@ def ancestor_semi(t):
     return t.nation.join(rich, "n_nationkey", "left_semi").join(t.supplier, F.col("n_nationkey") == F.col("s_nationkey")).groupBy("n_name").agg(F.count("*").alias("n"))
 
 
-@query("""SELECT doc_id, depth, string_agg(line, ' > ' ORDER BY n) AS chain FROM (SELECT a.doc_id, a.n AS depth, b.n, b.line FROM """ + LINES + """ a JOIN """ + LINES + """ b ON a.doc_id = b.doc_id AND b.n <= a.n WHERE a.n < 3) GROUP BY doc_id, depth""")
+@query("""SELECT doc_id, CAST(n AS BIGINT) AS depth, CAST(row_number() OVER w AS BIGINT) AS levels, md5(line) AS level, md5(string_agg(md5(line), '>') OVER w) AS chain FROM """ + LINES + """ WINDOW w AS (PARTITION BY doc_id ORDER BY n ROWS UNBOUNDED PRECEDING)""")
 def ancestor_chains(t):
-    chain = t.documents.select("doc_id", F.slice(F.split("text", "\n", -1), 1, 3).alias("g"))
-    grown = chain.select("doc_id", "g", F.explode(F.sequence(F.lit(1), F.size("g"))).alias("d"))
-    return grown.select("doc_id", (F.col("d") - 1).cast("long").alias("depth"), F.array_join(F.slice("g", F.lit(1), F.col("d")), " > ").alias("chain"))
+    own = F.transform(F.split("text", "\n", -1), lambda g: F.md5(g))
+    # A chain is told by the hashes of its levels, so that deep texts stay in proportion.
+    grown = t.documents.select("doc_id", own.alias("g")).select("doc_id", "g", F.posexplode("g").alias("depth", "level"))
+    chain = F.md5(F.array_join(F.slice("g", F.lit(1), F.col("depth") + 1), ">"))
+    return grown.select("doc_id", F.col("depth").cast("long").alias("depth"), (F.col("depth") + 1).cast("long").alias("levels"), "level", chain.alias("chain"))
 
 
 # Merging and report aggregations
 
 
-@query("SELECT lang || '.' || source AS id, min(doc_id) AS first, string_agg(substr(text, 1, 12), '|' ORDER BY doc_id) AS texts, count(*) AS n FROM documents GROUP BY 1")
+@query("SELECT lang || '.' || source AS id, min(doc_id) AS first, string_agg(md5(text), '|' ORDER BY doc_id) AS texts, count(*) AS n FROM documents GROUP BY 1")
 def merge_lemmas(t):
-    rows = t.documents.select(F.concat("lang", F.lit("."), "source").alias("id"), "doc_id", F.substring("text", 1, 12).alias("head"), "source")
-    merged = merge.merge_entities(rows, "id", "doc_id", "head", "source")
+    rows = t.documents.select(F.concat("lang", F.lit("."), "source").alias("id"), "doc_id", F.md5("text").alias("text"))
+    merged = rows.groupBy("id").agg(F.min("doc_id").alias("first"), merge.in_order(F.col("text"), F.col("doc_id")).alias("texts"))
     return merged.select("id", "first", F.array_join("texts", "|").alias("texts"), F.size("texts").cast("long").alias("n"))
 
 
@@ -245,11 +246,11 @@ def gather_variants(t):
     return merge.gather_variants(rows, "target", "variant").select("target", F.array_join("variants", "|").alias("variants"))
 
 
-@query("""SELECT source, lang, min(doc_id) AS first, string_agg(DISTINCT w, '|' ORDER BY w) AS words, arg_max(label, doc_id) FILTER (WHERE label <> '') AS label FROM (SELECT *, substr(text, 1, 3) AS w, CASE WHEN doc_id % 4 = 0 THEN '' ELSE 'L' || doc_id % 7 END AS label FROM documents) GROUP BY source, lang""")
+@query("""SELECT source, lang, min(doc_id) AS first, string_agg(DISTINCT w, '|' ORDER BY w) AS words, arg_max(label, doc_id) FILTER (WHERE label <> '') AS label FROM (SELECT *, unnest(string_split(text, ' ')) AS w, CASE WHEN doc_id % 4 = 0 THEN '' ELSE 'L' || doc_id % 7 END AS label FROM documents) GROUP BY source, lang""")
 def translation_tables(t):
     label = F.when(F.col("doc_id") % 4 == 0, "").otherwise(F.concat(F.lit("L"), (F.col("doc_id") % 7).cast("string")))
-    rows = t.documents.select("source", F.lit("").alias("gloss"), "lang", F.substring("text", 1, 3).alias("w"), label.alias("l"), "doc_id")
-    return merge.merge_tables(rows, "source", "gloss", "lang", "w", "l", "doc_id").select("source", "lang", "first", F.array_join("words", "|").alias("words"), "label")
+    rows = t.documents.select("source", "lang", F.explode(F.split("text", " ", -1)).alias("w"), label.alias("l"), "doc_id")
+    return merge.merge_tables(rows, ["source", "lang"], "w", "l", "doc_id").select("source", "lang", "first", F.array_join("words", "|").alias("words"), "label")
 
 
 @query("""SELECT source, string_agg(lang, '|' ORDER BY lang) AS known FROM (SELECT source, lang FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source, lang HAVING max(CASE WHEN quality = 0 THEN 1 ELSE 0 END) = 0) GROUP BY source""")
@@ -259,10 +260,12 @@ def known_minus_incomplete(t):
     return found.where(F.size("known") > 0).select("source", F.array_join("known", "|").alias("known"))
 
 
-@query("""SELECT conv_id, start, "end", string_agg(DISTINCT role, '+' ORDER BY role) AS sources FROM (SELECT conv_id, role, CAST(turn // 2 AS BIGINT) AS start, CAST(turn // 2 + 1 AS BIGINT) AS "end" FROM conversations) GROUP BY ALL""")
+@query("""SELECT conv_id, start, "end", string_agg(DISTINCT kind, '+' ORDER BY kind DESC) AS sources FROM (SELECT conv_id, CASE WHEN role = 'user' THEN 'lemmatizer' ELSE 'bold' END AS kind, CAST(turn // 2 AS BIGINT) AS start, CAST(turn // 2 + 1 AS BIGINT) AS "end" FROM conversations) GROUP BY ALL""")
 def merge_word_offsets(t):
-    rows = t.conversations.select("conv_id", F.col("role").alias("source"), F.floor(F.col("turn") / 2).cast("long").alias("start")).withColumn("end", F.col("start") + 1)
-    return merge.merge_offsets(rows, ["conv_id"])
+    start = F.floor(F.col("turn") / 2).cast("int")
+    span = F.struct(start.alias("start"), (start + 1).alias("end"), F.array(F.when(F.col("role") == "user", "lemmatizer").otherwise("bold")).alias("sources"))
+    merged = t.conversations.groupBy("conv_id").agg(F.collect_list(span).alias("spans")).select("conv_id", F.explode(udfs.merged_ranges("spans")["ranges"]).alias("r"))
+    return merged.select("conv_id", F.col("r.start").cast("long").alias("start"), F.col("r.end").cast("long").alias("end"), F.array_join("r.sources", "+").alias("sources"))
 
 
 @query("""WITH r AS (SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations), first AS (SELECT conv_id, role, min(turn) AS seen FROM r GROUP BY ALL) SELECT conv_id, string_agg(role, '>' ORDER BY seen) AS roles FROM first GROUP BY conv_id""")
@@ -401,72 +404,100 @@ def one_to_one_violations(t):
 # Text
 
 
-@query("SELECT page_id, regexp_replace(html, '</?[A-Za-z][^>]*>', '', 'g') AS plain FROM pages")
-def strip_tags(t):
-    return t.pages.select("page_id", native.strip_tags(F.col("html")).alias("plain"))
+@query(r"""SELECT doc_id, trim(regexp_replace(text, '[ \t]{2,}', ' ', 'g'), chr(9) || chr(10) || ' ') AS plain FROM documents WHERE NOT regexp_matches(text, '[\[\]<>&#{}\\]|''''|[^\x00-\x7F]|\r')""")
+def plain_documents(t):
+    quiet = t.documents.where(~F.col("text").rlike(r"[\[\]<>&#{}\\]|''|[^\x00-\x7F]|\r"))
+    return quiet.select("doc_id", udfs.plain_text("text").alias("plain"))
 
 
-@query("SELECT page_id, replace(replace(replace(replace(replace(replace(html, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', chr(39)), '&nbsp;', ' '), '&amp;', '&') AS plain FROM pages")
-def unescape_entities(t):
-    return t.pages.select("page_id", native.unescape(F.col("html")).alias("plain"))
+@query(r"""SELECT doc_id, regexp_replace(regexp_replace(text, '[ \t\n]+', ' ', 'g'), '^ | $', '', 'g') AS plain FROM documents WHERE NOT regexp_matches(text, '[\[\]<>&#{}\\]|''''|[^\x00-\x7F]|\r')""")
+def plain_marked_documents(t):
+    """Every word of a text as a bold link, an entity for each line's end: the scanner gives the words back."""
+    quiet = t.documents.where(~F.col("text").rlike(r"[\[\]<>&#{}\\]|''|[^\x00-\x7F]|\r"))
+    words = F.filter(F.split("text", "[ \t\n]+", -1), lambda w: w != "")
+    marked = F.array_join(F.transform(words, lambda w: F.concat(F.lit("<b>'''[[x#y|"), w, F.lit("]]'''</b>"))), "&#32;  ")
+    return quiet.select("doc_id", udfs.plain_text(marked).alias("plain"))
+
+
+@query("SELECT doc_id, n, CASE WHEN NOT regexp_matches(line, '[A-Za-z0-9]') THEN '' ELSE upper(substr(line, 1, 1)) || substr(line, 2) || CASE WHEN regexp_matches(line, '[.?!]$') THEN '' ELSE '.' END END AS statement FROM " + LINES + " WHERE regexp_matches(line, '^[A-Za-z][^()]*[A-Za-z0-9.?!]$') AND NOT regexp_matches(line, '^[a-z]\\s*[=+<>\\\\]') AND NOT regexp_matches(line, '[^\\x00-\\x7F]')")
+def line_statements(t):
+    shape = F.col("line").rlike(r"^[A-Za-z][^()]*[A-Za-z0-9.?!]$") & ~F.col("line").rlike(r"^[a-z]\s*[=+<>\\]") & ~F.col("line").rlike(r"[^\x00-\x7F]")
+    return lines(t).where(shape).select("doc_id", F.col("n").cast("long").alias("n"), udfs.as_statement("line").alias("statement"))
 
 
 @query("SELECT p_partkey, p_brand || ' and ' || p_type AS plain FROM part")
 def link_text(t):
-    return t.part.select("p_partkey", native.link_text(F.concat(F.lit("[["), "p_name", F.lit("|"), "p_brand", F.lit("]] and [["), "p_type", F.lit("]]"))).alias("plain"))
+    return t.part.select("p_partkey", udfs.plain_text(F.concat(F.lit("[["), "p_name", F.lit("|"), "p_brand", F.lit("]] and [["), "p_type", F.lit("]]"))).alias("plain"))
 
 
 @query("SELECT p_partkey, p_name || ' ' || p_brand AS plain FROM part")
 def emphasis(t):
-    return t.part.select("p_partkey", native.drop_emphasis(F.concat(F.lit("''"), "p_name", F.lit("'' '''"), "p_brand", F.lit("'''"))).alias("plain"))
+    return t.part.select("p_partkey", udfs.plain_text(F.concat(F.lit("''"), "p_name", F.lit("'' '''"), "p_brand", F.lit("'''"))).alias("plain"))
+
 
+@query("""SELECT doc_id, w AS form, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9_]+')) AS w FROM documents WHERE NOT regexp_matches(text, '[^\\x00-\\x7F]')) WHERE w IN ('the', 'of', 'and', 'is') GROUP BY ALL""")
+def form_counts(t):
+    plain = t.documents.where(~F.col("text").rlike(r"[^\x00-\x7F]"))
+    found = plain.select("doc_id", F.explode(udfs.form_counts("text", F.array(*map(F.lit, ("the", "of", "and", "is"))))).alias("form", "n"))
+    return found.select("doc_id", "form", F.col("n").cast("long").alias("n"))
 
-@query(r"SELECT page_id, regexp_replace(html, '[ \t]+', ' ', 'g') AS plain FROM pages")
-def collapse_spaces(t):
-    return t.pages.select("page_id", native.collapse_spaces(F.col("html")).alias("plain"))
+
+@query("""SELECT doc_id, md5(lower(regexp_replace(CASE WHEN regexp_matches(k, '[^.]\\.$') THEN substr(k, 1, length(k) - 1) ELSE k END, ' +$', ''))) AS key FROM (SELECT doc_id, regexp_replace(regexp_replace(text, '[ \\t\\n\\r]+', ' ', 'g'), '^ | $', '', 'g') AS k FROM documents WHERE NOT regexp_matches(text, '[^\\x00-\\x7F]'))""")
+def document_keys(t):
+    plain = t.documents.where(~F.col("text").rlike(r"[^\x00-\x7F]"))
+    return plain.select("doc_id", F.md5(udfs.heading_key("text")).alias("key"))
 
 
 @query("SELECT p_partkey, lower(p_type) AS k1, lower(p_name) || '..' AS k2 FROM part")
 def gloss_key(t):
-    return t.part.select("p_partkey", native.gloss_key(F.concat(F.lit("  "), F.replace("p_type", F.lit(" "), F.lit("   ")), F.lit(". "))).alias("k1"), native.gloss_key(F.concat("p_name", F.lit(".."))).alias("k2"))
+    return t.part.select("p_partkey", udfs.heading_key(F.concat(F.lit("  "), F.replace("p_type", F.lit(" "), F.lit("   ")), F.lit(". "))).alias("k1"), udfs.heading_key(F.concat("p_name", F.lit(".."))).alias("k2"))
 
 
 @query("SELECT p_partkey, upper(substr(p_name, 1, 1)) || substr(p_name, 2) || '.' AS s1, 'Is it?' AS s2, '' AS s3 FROM part")
 def statement_case(t):
-    return t.part.select("p_partkey", native.statement_case(F.concat(F.lit(" "), "p_name", F.lit(" ;"))).alias("s1"), native.statement_case(F.lit("is it?")).alias("s2"), native.statement_case(F.lit("--")).alias("s3"))
+    return t.part.select("p_partkey", udfs.clean_gloss(F.concat(F.lit(" "), "p_name", F.lit(" ;"))).alias("s1"), udfs.clean_gloss(F.lit("is it?")).alias("s2"), udfs.clean_gloss(F.lit("--")).alias("s3"))
 
 
-@query("SELECT CASE WHEN contains(w, ' ') THEN 'Multiword' WHEN contains(w, '-') THEN 'Hyphenated' WHEN regexp_matches(w, '[^\\x00-\\x7F]') THEN 'Non-ASCII' ELSE 'Plain' END AS shape, count(*) AS n FROM (SELECT split_part(text, '.', 1) AS w FROM documents UNION ALL SELECT split_part(text, ' ', 1) FROM documents) WHERE NOT contains(w, chr(39)) AND NOT contains(w, '’') GROUP BY 1")
+@query("SELECT CASE WHEN contains(w, ' ') THEN 'Multiword' WHEN regexp_matches(w, '[''’]') THEN 'Apostrophe' WHEN contains(w, '-') THEN 'Hyphenated' WHEN regexp_matches(w, '[^\\x00-\\x7F]') THEN 'Non-ASCII' ELSE 'Plain' END AS shape, count(*) AS n FROM (SELECT unnest(string_split(text, '.')) AS w FROM documents UNION ALL SELECT unnest(string_split(text, ' ')) FROM documents) GROUP BY 1")
 def headword_shape(t):
-    words = t.documents.select(F.explode(F.array(F.substring_index("text", ".", 1), F.substring_index("text", " ", 1))).alias("w")).where("not contains(w, '\\'') and not contains(w, '’')")
-    return words.groupBy(native.headword_shape(F.col("w")).alias("shape")).agg(F.count("*").alias("n"))
+    words = t.documents.select(F.explode(F.split("text", r"\.", -1)).alias("w")).unionByName(t.documents.select(F.explode(F.split("text", " ", -1)).alias("w")))
+    return reports.histogram(words, udfs.headword_shape("w"), "shape")
 
 
 @query("SELECT o_orderkey, year(o_orderdate) AS y FROM orders")
 def year_extract(t):
-    return t.orders.select("o_orderkey", native.year_of(F.concat(F.lit("no. 123456, the "), F.year("o_orderdate").cast("string"), F.lit("s, 1822"))).cast("long").alias("y"))
-
-
-@query("""SELECT doc_id, n AS position, w AS form FROM (SELECT doc_id, unnest(ws) AS w, unnest(generate_series(0, len(ws) - 1)) AS n FROM (SELECT doc_id, string_split(text, ' ') AS ws FROM documents WHERE lang = 'en')) WHERE w IN ('the', 'of', 'and')""")
-def form_positions(t):
-    words = t.documents.where("lang = 'en'").select("doc_id", F.posexplode(F.split("text", " ", -1)).alias("position", "form"))
-    return words.where(F.col("form").isin("the", "of", "and")).select("doc_id", F.col("position").cast("long").alias("position"), "form")
+    return t.orders.select("o_orderkey", udfs.year_of(F.concat(F.lit("no. 123456, the "), F.year("o_orderdate").cast("string"), F.lit("s, 1822"))).cast("long").alias("y"))
 
 
 @query("""SELECT CASE WHEN turn % 5 = 0 THEN 'Lemmatizer only' WHEN turn % 5 = 1 THEN 'Bold only' WHEN turn % 5 = 2 THEN 'Exact agreement' WHEN turn % 5 = 3 THEN 'Overlapping proposals' ELSE 'Disagreement' END AS relation, count(*) AS n FROM conversations GROUP BY 1""")
 def source_agreement(t):
-    at = lambda a, b: F.struct(F.lit(a).alias("start"), F.lit(b).alias("end"))
-    none = F.array().cast("array<struct<start:int,end:int>>")
+    at = lambda a, b, source: F.struct(F.lit(a).alias("start"), F.lit(b).alias("end"), F.array(F.lit(source)).alias("sources"))
     k = F.col("turn") % 5
-    left = F.when(k == 1, none).otherwise(F.array(at(0, 4)))
-    right = F.when(k == 0, none).when(k == 3, F.array(at(2, 6))).when(k == 4, F.array(at(9, 12))).otherwise(F.array(at(0, 4)))
-    return t.conversations.groupBy(native.agreement(left, right).alias("relation")).agg(F.count("*").alias("n"))
+    own, bold = at(0, 4, "lemmatizer"), at(0, 4, "bold")
+    spans = F.when(k == 0, F.array(own)).when(k == 1, F.array(bold)).when(k == 2, F.array(own, bold)).when(k == 3, F.array(own, at(2, 6, "bold"))).otherwise(F.array(own, at(9, 12, "bold")))
+    return reports.histogram(t.conversations, udfs.merged_ranges(spans)["relation"], "relation")
 
 
 @query("SELECT p_partkey FROM part WHERE p_size % 3 = 0")
 def balanced_delimiters(t):
     shape = F.when(F.col("p_size") % 3 == 0, F.concat(F.lit("(["), "p_name", F.lit("])"))).when(F.col("p_size") % 3 == 1, F.concat(F.lit("(["), "p_name", F.lit(")]"))).otherwise(F.concat("p_name", F.lit("(")))
-    return t.part.where(filters.balanced(shape)).select("p_partkey")
+    return t.part.where(udfs.balanced(shape)).select("p_partkey")
+
+
+@query("""SELECT o_orderkey, count(DISTINCT l_linenumber) = 1 AS valid FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
+def valid_decisions(t):
+    """Each line of an order links the order's one table, so that an order with another line number breaks one-to-one."""
+    link = F.struct(F.lit("t").alias("target_id"), F.lit("translation").alias("relation"), F.lit("r").alias("reason"))
+    made = F.collect_list(F.struct(F.col("l_linenumber").cast("string").alias("source_id"), F.array(link).alias("links")))
+    grouped = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_orderkey").agg(made.alias("d"))
+    return grouped.select("o_orderkey", udfs.valid_decisions(F.lit("translations"), "d", F.transform("d", lambda x: x["source_id"]), F.array(F.lit("t"))).alias("valid"))
+
+
+@query("""SELECT p_partkey, round(CASE WHEN a >= 2 AND c >= 0.85 * a AND c >= 0.3 * b THEN greatest(2.0 * c / (a + b), 0.7 + 0.2 * c / b) ELSE 2.0 * c / (a + b) END, 9) AS similarity
+    FROM (SELECT p_partkey, len(string_split(p_name, ' ')) AS a, len(string_split(p_name || ' ' || p_type, ' ')) AS b, len(string_split(p_name, ' ')) AS c FROM part)""")
+def covered_similarity(t):
+    words = F.split("p_name", " ", -1)
+    return t.part.select("p_partkey", F.round(udfs.similar_words(words, F.concat(words, F.split("p_type", " ", -1))), 9).alias("similarity"))
 
 
 # Without SQL: Python kernels and whole dataflows, which the tests hold against plain versions

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import glosses, offsets, udfs
-from ..operators import filters, merge
+from ..operators import filters, joins, merge, reports
 from ..schema import SENSE, SENTENCE, TABLE
 
 IN_LANGUAGE = "en"
@@ -34,7 +34,7 @@ def variants(entries: DataFrame) -> DataFrame:
     described = F.when(F.exists("s.glosses", lambda g: filters.starts_with_any(g, [p for p in _variant_prefixes()])), F.array(udfs.referred(F.element_at("s.glosses", -1))))
     named = senses.select("lemma", "tag", F.explode(F.coalesce(targets, described)).alias("target")).where("target is not null and target <> ''")
     own = named.select(F.col("lemma").alias("variant"), F.col("target").alias("lemma"), lemma_id(F.col("target"), F.col("tag")).alias("lemma_id"))
-    return own.where("variant <> lemma").groupBy("lemma_id").agg(F.sort_array(F.collect_set("variant")).alias("variants"))
+    return merge.gather_variants(own, "lemma", "variant", by="lemma_id")
 
 
 def _variant_prefixes() -> list[str]:
@@ -56,15 +56,11 @@ def translation_tables(entries: DataFrame, off_page: DataFrame | None = None) ->
         rows = rows.unionByName(off_page.withColumn("ord", last).join(names, "lemma_id").select(rows.columns))
     cleaned = rows.withColumns({"gloss": udfs.heading("gloss"), "c": udfs.clean_translation("code", "word")}).where("gloss <> '' and c is not null")
     words = cleaned.select("lemma_id", "lemma", "tag", "ord", "gloss", F.col("c.code").alias("code"), "label", F.explode("c.words").alias("word"))
-    by_language = words.groupBy("lemma_id", "lemma", "tag", "gloss", "code").agg(
-        F.min("ord").alias("ord"), F.sort_array(F.collect_set("word")).alias("words"),
-        F.coalesce(F.max_by("label", F.when(F.col("label") != "", F.col("ord"))), F.lit("")).alias("label"),
-    )
-    shaped = F.struct("ord", F.struct("code", "label").alias("language"), "words")
-    by_gloss = by_language.groupBy("lemma_id", "lemma", "tag", "gloss").agg(F.min("ord").alias("ord"), F.array_sort(F.collect_list(shaped)).alias("l"))
-    table = F.struct("ord", udfs.table_id("lemma", "tag", "gloss").alias("id"), "gloss", F.transform("l", lambda x: F.struct(x["language"].alias("language"), x["words"].alias("words"))).alias("translations"))
-    tables = by_gloss.groupBy("lemma_id").agg(F.array_sort(F.collect_list(table)).alias("t"))
-    return tables.select("lemma_id", F.transform("t", lambda x: F.struct(x["id"].alias("id"), x["gloss"].alias("gloss"), x["translations"].alias("translations"))).cast(f"array<{TABLE}>").alias("translation_tables"))
+    by_language = merge.merge_tables(words, ["lemma_id", "lemma", "tag", "gloss", "code"], "word", "label", "ord").withColumn("label", F.coalesce("label", F.lit("")))
+    shaped = F.struct(F.struct("code", "label").alias("language"), "words")
+    by_gloss = by_language.groupBy("lemma_id", "lemma", "tag", "gloss").agg(F.min("first").alias("ord"), merge.in_order(shaped, F.col("first")).alias("l"))
+    table = F.struct(udfs.table_id("lemma", "tag", "gloss").alias("id"), "gloss", F.col("l").alias("translations"))
+    return by_gloss.withColumn("table", table).groupBy("lemma_id").agg(merge.in_order(F.col("table"), F.col("ord")).cast(f"array<{TABLE}>").alias("translation_tables"))
 
 
 def merge_senses(senses: DataFrame) -> DataFrame:
@@ -121,19 +117,19 @@ def collect(
         known = wikidata.select("sense_id", F.col("ids").alias("more"))
         joined = merged.withColumn("sense_id", F.col("s.id")).join(known, "sense_id", "left")
         merged = joined.withColumn("s", F.col("s").withField("wikidata_ids", merge.append_absent(F.array("s.wikidata_ids", F.coalesce("more", F.array().cast("array<string>")))))).select("lemma_id", "o", "s")
-    nested = merged.groupBy("lemma_id").agg(F.array_sort(F.collect_list(F.struct("o", "s"))).alias("l")).select("lemma_id", F.transform("l", lambda x: x["s"]).cast(f"array<{SENSE}>").alias("senses"))
+    nested = merged.groupBy("lemma_id").agg(merge.in_order(F.col("s"), F.col("o")).cast(f"array<{SENSE}>").alias("senses"))
     heads = entry.groupBy("lemma_id").agg(F.min("ord").alias("ord"), F.first("lemma").alias("lemma"), F.first("tag").alias("pos"), F.array_distinct(F.flatten(F.collect_list("own_forms"))).alias("forms"))
     none = F.array().cast("array<string>")
-    lemmas = heads.join(nested, "lemma_id").join(variants(every), "lemma_id", "left").join(translation_tables(entry, off_page), "lemma_id", "left")
+    lemmas = joins.look_up(heads.join(nested, "lemma_id"), variants(every), ["lemma_id"], {"variants": none})
+    lemmas = joins.look_up(lemmas, translation_tables(entry, off_page), ["lemma_id"], {"translation_tables": F.array().cast(f"array<{TABLE}>")})
     run = udfs.locator(locate)
-    all_forms = F.array_union("forms", F.coalesce("variants", none))
+    all_forms = F.array_union("forms", "variants")
     # Locating is Python: sentences go through it one sense at a time.
     exploded = lemmas.select("lemma_id", all_forms.alias("f"), F.posexplode("senses").alias("at", "s"))
-    located = exploded.withColumn("s", F.col("s").withField("sentences", run("s.sentences", "f"))).groupBy("lemma_id").agg(F.array_sort(F.collect_list(F.struct("at", "s"))).alias("l"))
+    located = exploded.withColumn("s", F.col("s").withField("sentences", run("s.sentences", "f"))).groupBy("lemma_id").agg(merge.in_order(F.col("s"), F.col("at")).alias("l"))
     done = lemmas.drop("senses").join(located, "lemma_id")
     return done.select(
-        "ord", F.col("lemma_id").alias("id"), "lemma", "pos", F.coalesce("variants", none).alias("variants"), F.transform("l", lambda x: x["s"]).cast(f"array<{SENSE}>").alias("senses"),
-        F.coalesce("translation_tables", F.array().cast(f"array<{TABLE}>")).alias("translation_tables"),
+        "ord", F.col("lemma_id").alias("id"), "lemma", "pos", "variants", F.col("l").cast(f"array<{SENSE}>").alias("senses"), "translation_tables"
     )
 
 
@@ -146,14 +142,15 @@ def exported(lemmas: DataFrame) -> DataFrame:
 
 def counts(df: DataFrame, key: Column) -> dict:
     """A histogram, by native key."""
-    rows = df.groupBy(key.alias("k")).agg(F.count("*").alias("n")).where("k is not null").orderBy("k").collect()
+    rows = reports.histogram(df, key, "k").where("k is not null").orderBy("k").collect()
     return {str(r.k): r.n for r in rows}
 
 
 def statistics(lemmas: DataFrame) -> dict:
     """The report's counters. Each is one aggregate over one grain; what is collected is bounded by distinct labels."""
     senses = lemmas.select("lemma", F.explode("senses").alias("s"))
-    sentences = senses.select("lemma", F.explode("s.sentences").alias("x")).withColumn("c", udfs.check_sentence("x.text", "x.word_offsets", "lemma"))
+    # Checking is Python and nine figures read it, so it is done once.
+    sentences = reused(senses.select("lemma", F.explode("s.sentences").alias("x")).withColumn("c", udfs.check_sentence("x.text", "x.word_offsets", "lemma")).select("x.year", "x.reference", "x.word_offsets", "c").select(F.struct("year", "reference", "word_offsets").alias("x"), "c"))
     tables = lemmas.select(F.explode("translation_tables").alias("t"))
     words = tables.select(F.explode("t.translations").alias("l"))
     quoted = F.col("x.reference").isNotNull()
@@ -178,6 +175,8 @@ def statistics(lemmas: DataFrame) -> dict:
         "offset_sources": counts(sentences.select(F.explode("x.word_offsets").alias("o")), F.array_join(F.sort_array("o.sources"), "+")),
         "offset_violations": counts(sentences.select(F.explode("c.violations").alias("v")), F.col("v")), "different_surfaces": one(sentences, F.sum("c.surfaces")),
     }
+    middle = lambda df, key: reports.median_of(reports.histogram(df, key, "k").where("k is not null"), "k", "n").first().median
+    found["medians"] = {"senses_per_entry": middle(lemmas, F.size("senses")), "gloss_depths": middle(senses, F.size("s.glosses")), "offsets_per_sentence": middle(sentences, F.col("c.offsets")), "quotation_years": middle(sentences.where(quoted), F.col("x.year"))}
     total = lambda name: sum(found[name].values())
     found["totals"] = {"entries": total("entries"), "senses": total("senses"), "sentences": total("sentences"), "offsets": found["offsets"], "tags": len(found["tags"]), "topics": len(found["topics"]), "translation_languages": len(found["translation_languages"])}
     return found

@@ -44,7 +44,7 @@ def render(s: Mapping) -> str:
     t = s["totals"]
     pos = table(("Part of speech", "Entries", "Senses", "Sentences"), ((p, s["entries"].get(p, 0), s["senses"].get(p, 0), s["sentences"].get(p, 0)) for p in POS if p in s["entries"]))
     parts = [
-        ("Records", [pos, f"Senses an entry: {average(t['senses'], t['entries'])}", shares("Senses", s["senses_per_entry"]), shares("Gloss depth", s["gloss_depths"])]),
+        ("Records", [pos, f"Senses an entry: {average(t['senses'], t['entries'])}, median {s['medians']['senses_per_entry']}", shares("Senses", s["senses_per_entry"]), shares("Gloss depth", s["gloss_depths"])]),
         ("Variants and synonyms", [f"Entries with variants: {s['variant_entries']} ({share(s['variant_entries'], t['entries'])})", f"Senses with synonyms: {s['synonym_senses']} ({share(s['synonym_senses'], t['senses'])})"]),
         ("Translations", [f"Translated entries: {s['translated_entries']} ({share(s['translated_entries'], t['entries'])})", shares("Language", s["translation_languages"], TOP)]),
         ("Sentences and quotations", [shares("Kind", s["sentence_kinds"]), f"Senses without sentence: {s['unattested_senses']} ({share(s['unattested_senses'], t['senses'])})", f"Undated quotations: {s['undated_quotations']}"]),

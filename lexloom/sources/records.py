@@ -72,6 +72,23 @@ def read_decisions(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("ord", *FIELDS)
 
 
+def parse_query(line: str) -> dict:
+    """A query record {alignment_id, task, lemma, pos, sources, targets}; definitions need an id, lists may be left out."""
+    found = json.loads(line)
+    if not isinstance(found, dict) or missing(found, ("task", "lemma", "pos", "sources", "targets")):
+        raise ValueError("not a query record")
+    lists = ("glosses", "synonyms", "tags", "topics", "examples", "sources")
+    for side in ("sources", "targets"):
+        if any(not isinstance(d, dict) or missing(d, ("id",)) for d in found[side]) or len({d["id"] for d in found[side]}) < len(found[side]):
+            raise ValueError(f"{side} lack an id or share one")
+        found[side] = [{"id": d["id"], **{k: list(d.get(k) or ()) for k in lists}} for d in found[side]]
+    return {"alignment_id": found.get("alignment_id", f"{found['task']}:{found['lemma']}.{found['pos']}"), **found}
+
+
+def missing(record: dict, names: tuple[str, ...]) -> bool:
+    return any(record.get(n) is None for n in names)
+
+
 def read_prompts(path: str | Path) -> dict:
     """{system, tasks: {task: template}} of a TOML file."""
     found = tomllib.loads(Path(path).read_text(encoding="utf-8"))

@@ -213,3 +213,50 @@ def test_kinds_of_lines(text, navigation, metadata, dated):
 )
 def test_markup(text, expected):
     assert formatting.plain(Marked(text)).text == expected
+
+
+def test_models_are_prompted_and_fail_alone(monkeypatch):
+    import json
+    import sys
+    import types
+
+    from lexloom.functions import inference
+
+    seen = []
+
+    def backend(requests, temperature=None):
+        seen.append((len(requests), temperature))
+        if any("bad" in r["prompt"] for r in requests):
+            raise RuntimeError("cannot")
+        return [json.dumps({s: None for s in r["schema"]["required"]}) for r in requests]
+
+    module = types.ModuleType("backends")
+    module.backend = backend
+    monkeypatch.setitem(sys.modules, "backends", module)
+    model = inference.load("backends:backend", {"system": "s", "tasks": {"translations": "$lemma: $sources"}}, "leaf", {"temperature": 0.5})
+    query = lambda lemma: {"task": "translations", "lemma": lemma, "pos": "noun", "sources": [{"id": "a", "glosses": ["x", "y"]}], "targets": [{"id": "t", "glosses": ["z"]}]}
+    assert inference.answer(model, [query("good"), query("bad"), query("fine")]) == ['{"a": null}', None, '{"a": null}']
+    assert seen == [(3, 0.5), (1, 0.5), (1, 0.5), (1, 0.5)] and inference.answer(model, []) == []
+    assert model.request(query("good"))["prompt"] == 'good: {"id": "a", "gloss": "y"}'
+    assert inference.decide_one(query("good"), "translations", model) == {"a": []}
+    with pytest.raises(RuntimeError):
+        inference.decide_one(query("bad"), "translations", model)
+    for name in ("nothing", "no.such.module:f", "json:nothing"):
+        with pytest.raises((ValueError, ImportError, AttributeError)):
+            inference.load(name)
+
+
+def test_query_records():
+    from lexloom.sources import records
+
+    found = records.parse_query('{"task": "synsets", "lemma": "dog", "pos": "noun", "sources": [{"id": "a", "glosses": ["x"]}], "targets": [{"id": "b"}]}')
+    assert found["alignment_id"] == "synsets:dog.noun" and found["targets"] == [{"id": "b", "glosses": [], "synonyms": [], "tags": [], "topics": [], "examples": [], "sources": []}]
+    for line in ("[]", "{}", '{"task": "synsets", "lemma": "dog", "pos": "noun", "sources": [{"id": "a"}, {"id": "a"}], "targets": []}'):
+        with pytest.raises(ValueError):
+            records.parse_query(line)
+
+
+def test_similarity_needs_words_and_is_bounded():
+    assert matching.similarity(["dog"], ["a", "dog"]) == pytest.approx(2 / 3)
+    assert matching.similarity(["a", "dog"], ["a", "dog", "that", "barks"]) == pytest.approx(0.8)
+    assert matching.similarity([], ["a"]) == 0.0
