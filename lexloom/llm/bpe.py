@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 
 from .common import arrow_rows
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 12 << 20
 MEMO = 200_000
 
 #: A single blank between two non-blank characters: the word pattern always starts a match there.
