@@ -42,17 +42,20 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
-def table(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame as Parquet in the shared folder and read it back: lineage ends here, losses replay nothing."""
+def table(df: DataFrame, name: str, clean: bool = True) -> DataFrame:
+    """Write a frame as Parquet in the shared folder and read it back: lineage ends here, losses replay nothing.
+
+    With clean, the JVM is asked to collect garbage, which makes Spark delete the files of shuffles that are done with.
+    """
     spark = df.sparkSession
     small_batches(spark)
     path = f"{shared_dir(spark)}/lexloom/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     schema = df.schema
-    # What was shuffled for this table isn't needed any more; Spark deletes it once the frame is collected as garbage.
     del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    if clean:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     back = spark.read.schema(schema).parquet(path)
     back.__dict__["written_to"] = path
     return back

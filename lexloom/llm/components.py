@@ -27,14 +27,14 @@ def components(edges: DataFrame) -> DataFrame:
     Each round halves what is left between a node and its root at least, and ends as a written table; a hub's edges are
     spread by pre-aggregation and skew joins, not gathered.
     """
-    edges = table(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    edges = table(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", clean=False)
     before = None
     while True:
         mark = tuple(edges.select(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if mark == before or not mark[0]:
             break
         before = mark
-        contracted = table(star(star(edges, True), False), "edges")
+        contracted = table(star(star(edges, True), False), "edges", clean=False)
         discard(edges)
         edges = contracted
     roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
