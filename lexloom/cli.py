@@ -17,6 +17,7 @@ from pyspark.sql import SparkSession
 from .functions import alignment, inference, offsets
 from .operators.decisions import FIELDS
 from .plans import align, collect, markdown, sidetables, sinks
+from .schema import RAW_ENTRY
 from .sources import files, records, remote
 
 BASE = "https://dumps.wikimedia.org/enwiktionary/"
@@ -104,9 +105,12 @@ def fetch(args: argparse.Namespace) -> None:
 def parse(args: argparse.Namespace, spark: SparkSession) -> None:
     date = remote.fetched_date(args.cache_dir, args.dump_date)
     folder, resources = remote.dump_dir(args.cache_dir, date), remote.resource_dir(args.cache_dir, date)
-    entries = files.read_entries(spark, str(args.entries or files.existing(folder / ENTRIES) or _missing(folder / ENTRIES)))
-    if not entries.limit(1).count():
+    source = str(args.entries or files.existing(folder / ENTRIES) or _missing(folder / ENTRIES))
+    entries = files.read_entries(spark, source)
+    counts = files.line_counts(spark, source, RAW_ENTRY).first()
+    if not counts.n_records:
         raise SystemExit("the parser's output has no entry")
+    print(f"{counts.n_records} entries; skipped: {counts.n_other} other lines, {counts.n_broken} broken ones", file=sys.stderr)
     stored = folder / "pages.parquet"
     if not stored.exists():  # read three times below, so the XML is parsed once
         files.read_pages(spark, str(files.existing(folder / PAGES) or _missing(folder / PAGES))).write.parquet(str(stored))

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import alignment, inference
 from ..functions.identifiers import query_id
@@ -125,6 +126,32 @@ def decide(queries: DataFrame, cache: DataFrame, task: str, model: Model = align
     return asked.mapInPandas(run, DECISION)
 
 
+def replay(cache: DataFrame, queries: DataFrame, task: str) -> DataFrame:
+    """(alignment_id, source_id, links) of stored rows, which must all belong to known queries.
+
+    A row with an unknown query, source, target or relation, or without a reason, fails the job, and so does an exclusive
+    link that is not one-to-one or a target that a source has twice. The counts are within a query, which has few rows.
+    """
+    known = queries.select("alignment_id", F.transform("sources", lambda s: s["id"]).alias("__s"), F.transform("targets", lambda t: t["id"]).alias("__t"))
+    rows = cache.select(*rows_of.FIELDS).join(known, "alignment_id", "left")
+    linked = F.col("target_id") != ""
+    exclusive = linked & (F.lit(task in alignment.ONE_TO_ONE) | (F.col("relation") == alignment.EXCLUSIVE))
+    within = lambda c: Window.partitionBy("alignment_id", c)
+    rows = rows.withColumns({
+        "__same": F.count_if(linked).over(Window.partitionBy("alignment_id", "source_id", "target_id")),
+        "__by_source": F.count_if(exclusive).over(within("source_id")), "__by_target": F.count_if(exclusive).over(within("target_id")),
+    })
+    wrong = (
+        F.when(F.col("__s").isNull(), "unknown query").when(~F.array_contains("__s", F.col("source_id")), "unknown source")
+        .when(linked & ~F.array_contains("__t", F.col("target_id")), "unknown target")
+        .when(linked & (~F.col("relation").isin(*alignment.RELATIONS[task]) | (F.trim("reason") == "")), "a link is not valid")
+        .when(linked & (F.col("__same") > 1), "a target is linked twice")
+        .when(exclusive & ((F.col("__by_source") > 1) | (F.col("__by_target") > 1)), "an exclusive link is not one-to-one")
+    )
+    told = F.concat(wrong, F.lit(": "), F.concat_ws(" ", *rows_of.FIELDS[:3]))
+    return rows_of.from_rows(rows.withColumn("source_id", F.when(wrong.isNotNull(), F.raise_error(told)).otherwise(F.col("source_id"))))
+
+
 def apply_translations(lemmas: DataFrame, queries: DataFrame, decided: DataFrame) -> DataFrame:
     """Lemmas whose senses carry their table, `table_of` by sense; the tables go once every sense of the lemma is decided."""
     links = decided.join(queries.select("alignment_id", "lemma_id", F.size("sources").alias("asked")), "alignment_id")

@@ -37,6 +37,20 @@ def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return parsed.where(some > 0).select("ord", *[f"r.{c}" for c in fields])
 
 
+def line_counts(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """One row: n_lines, n_records, n_other (lines that don't begin with a brace) and n_broken, which json_lines() skips."""
+    fields = spark.createDataFrame([], schema).columns
+    record = F.from_json("line", schema)
+    held = F.lit(False)
+    for c in fields:
+        held = held | record[c].isNotNull()
+    braced = F.startswith("line", F.lit("{"))
+    return numbered_lines(spark, path).agg(
+        F.count("*").alias("n_lines"), F.count_if(braced & held).alias("n_records"),
+        F.count_if(~braced).alias("n_other"), F.count_if(braced & ~held).alias("n_broken"),
+    )
+
+
 def read_entries(spark: SparkSession, path: str) -> DataFrame:
     """Raw entries; the schema is the column pruning."""
     return json_lines(spark, path, RAW_ENTRY)

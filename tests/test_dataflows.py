@@ -11,7 +11,7 @@ from lexloom import cli
 from lexloom.functions import alignment
 from lexloom.operators import joins, merge
 from lexloom.plans import align, collect, markdown, sidetables, sinks
-from lexloom.schema import DECISION
+from lexloom.schema import DECISION, RAW_ENTRY
 from lexloom.sources import files, records, remote
 from lexloom.streaming import decisions as stream
 
@@ -131,6 +131,32 @@ def test_cache_is_reused_and_invalid_answers_leave_it(spark, entries, tmp_path):
     assert align.decide(queries, empty, "translations", model=lambda requests: ["broken"] * len(requests)).count() == 0
 
 
+@pytest.mark.parametrize("rows, said", [
+    ([("q", "s", "t", "translation", "why")], None),
+    ([("q", "s", "", "", "")], None),
+    ([("p", "s", "", "", "")], "unknown query"),
+    ([("q", "x", "", "", "")], "unknown source"),
+    ([("q", "s", "x", "translation", "why")], "unknown target"),
+    ([("q", "s", "t", "equivalent", "why")], "not valid"),
+    ([("q", "s", "t", "translation", " ")], "not valid"),
+    ([("q", "s", "t", "translation", "why"), ("q", "s", "t", "translation", "so")], "linked twice"),
+    ([("q", "s", "t", "translation", "why"), ("q", "s2", "t", "translation", "so")], "one-to-one"),
+])
+def test_replay_refuses_what_is_unknown_or_invalid(spark, rows, said):
+    one = lambda i: {"id": i, "glosses": [], "synonyms": [], "tags": [], "topics": [], "examples": [], "sources": []}
+    queries = spark.createDataFrame([("q", "l", "l", "noun", [one("s"), one("s2")], [one("t"), one("u")])], align.QUERY)
+    found = align.replay(spark.createDataFrame(rows, DECISION), queries, "translations")
+    if said:
+        with pytest.raises(Exception, match=said):
+            found.collect()
+    else:
+        assert [(r.alignment_id, r.source_id, [x.target_id for x in r.links]) for r in found.collect()] == [("q", "s", [x[2] for x in rows if x[2]])]
+
+
+def test_skipped_lines_are_counted(spark, entries, tmp_path):
+    assert files.line_counts(spark, str(tmp_path / "entries.jsonl"), RAW_ENTRY).first() == (8, 5, 2, 1)
+
+
 @pytest.mark.parametrize("text", ["a\tb\n", "alignment_id\tsource_id\ttarget_id\trelation\treason\nq\ts\tt\t\t\n", "alignment_id\tsource_id\ttarget_id\trelation\treason\nq\ts\t\t\t\np\ts\t\t\t\nq\ts2\t\t\t\n"])
 def test_bad_decision_files_fail(spark, tmp_path, text):
     (tmp_path / "d.tsv").write_text(text)
