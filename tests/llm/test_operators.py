@@ -334,3 +334,30 @@ def test_warc_round_trip(spark):
     parts = warc.chunks(warc.write(pages)).where("page_id = 7").orderBy("chunk").collect()
     assert len(parts) > 2 and b"".join(bytes(p.data) for p in parts) == big.encode() and parts[-1].digest == digest[7] and max(len(p.data) for p in parts) <= warc.CHUNK
     assert warc.round_trip(pages.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("block", [40, 250_000])
+def test_components_in_several_tasks_and_in_one(spark, monkeypatch, block):
+    """A chain, a hub, random edges and a loop, against a plain search."""
+    from lexloom.llm import components
+
+    monkeypatch.setattr(components, "BLOCK", block)
+    random = np.random.default_rng(1)
+    edges = [(k, k + 1) for k in range(100)] + [(1000, k) for k in range(1001, 1100)] + random.integers(200, 900, (300, 2)).tolist() + [(1200, 1200), (5, 6)]
+    near: dict[int, set[int]] = {}
+    for a, b in edges:
+        if a != b:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+    want: dict[int, int] = {}
+    for start in sorted(near):
+        todo = [] if start in want else [start]
+        while todo:
+            node = todo.pop()
+            if node not in want:
+                want[node] = start
+                todo += near[node]
+    as_bytes = lambda n: n.to_bytes(2, "big")
+    found = components.components(spark.createDataFrame([(as_bytes(a), as_bytes(b)) for a, b in edges], "a binary, b binary")).collect()
+    assert sorted((int.from_bytes(r.node), int.from_bytes(r.root)) for r in found) == sorted(want.items())
+    assert components.components(spark.createDataFrame([], "a binary, b binary")).count() == 0
