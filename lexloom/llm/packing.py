@@ -34,7 +34,7 @@ WINDOW = 2048
 OPEN = 128
 MERGE = 64
 END_ID = 1
-MEMO = 200_000
+MEMO = 400_000
 #: Partition numbers stand above this bit of a sequence's id.
 SHIFT = 40
 #: White space for Python's split but not for the tokenizer.
@@ -81,7 +81,8 @@ class WordCodec:
         plain = [w for w in wanted if w.isalpha()]
         tokenize = self.words.model.tokenize
         for word in plain:  # one piece: the model reads it directly, its bytes written as the byte-level step does
-            memo[word] = array.array("I", [t.id for t in tokenize(word.encode().decode("latin-1").translate(BYTE_LETTERS))]).tobytes()
+            letters = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
+            memo[word] = array.array("I", [t.id for t in tokenize(letters)]).tobytes()
         fresh = list(wanted.difference(plain))
         for k in range(0, len(fresh), 2000):
             part = fresh[k : k + 2000]
