@@ -5,7 +5,10 @@ from __future__ import annotations
 import collections
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from ..schema import SENSE, SENTENCE
 from . import alignment, glosses, identifiers, matching, offsets, sentences, translations, wikitext
@@ -78,30 +81,52 @@ def page_formulas(markup: str):
     return [{"rendered": f.rendered, "source": f.source, "prefix": f.prefix, "suffix": f.suffix} for f in wikitext.formulas(markup)]
 
 
+def arrow_type(kind: str) -> pa.DataType:
+    """The Arrow type of a Spark type; called where there is a session."""
+    return to_arrow_type(StructType.fromDDL(f"x {kind}")["x"].dataType)
+
+
+def items(column: pa.Array) -> list:
+    """A column as Python values; one of nulls alone costs nothing."""
+    return [None] * len(column) if column.null_count == len(column) else column.to_pylist()
+
+
 def builder(least: int | None, most: int | None):
-    """The UDF that builds the senses of a raw entry."""
-
-    @arrow(f"array<{SENSE}>")
-    def build(lemma: str, pos: str, etymology: str | None, raw: list, formulas: list | None):
-        out = []
-        known = [wikitext.Formula(f["rendered"], f["source"], f["prefix"], f["suffix"]) for f in formulas or ()]
-        for sense in raw or ():
-            tags = list(sense["tags"] or ())
-            chain = [wikitext.restore_formulas(g, known) if known else g for g in sense["glosses"] or () if g is not None]
-            if {"form-of", "alt-of"} & set(tags) or not chain or glosses.is_redirect(chain):
-                continue
-            cleaned = glosses.clean_chain(chain)
-            if cleaned is None:
-                continue
-            found = [s for e in sense["examples"] or () if e is not None for s in sentences.parse(e if isinstance(e, dict) else e.asDict(), least, most)]
-            out.append({
-                "id": identifiers.sense_id(lemma, pos, etymology, cleaned), "glosses": cleaned, "etymology": etymology or "",
-                "synonyms": synonyms([s["word"] for s in sense["synonyms"] or () if s is not None], lemma), "tags": tags, "topics": list(sense["topics"] or ()),
-                "sentences": [sentence_row(s) for s in found], "wikidata_ids": list(sense["wikidata"] or ()),
-            })
-        return out
-
-    return build
+    """The UDF that builds the senses of a raw entry. Examples are many, so they are read column by column."""
+    made = f"array<{SENSE}>"
+    kind = arrow_type(made)
+
+    def build(lemma: pa.Array, pos: pa.Array, etymology: pa.Array, raw: pa.Array, formulas: pa.Array) -> pa.Array:
+        senses, bounds = raw.values, raw.offsets.to_pylist()
+        fields = {name: items(senses.field(name)) for name in ("glosses", "tags", "topics", "wikidata", "synonyms")}
+        present = senses.is_valid().to_pylist()
+        examples = senses.field("examples")
+        lists, given = examples.offsets.to_pylist(), examples.values.is_valid().to_pylist()
+        shown = {name: items(examples.values.field(name)) for name in ("text", "ref", "type", "bold_text_offsets")}
+        rows = []
+        for k, (word, tag, origin, replaced) in enumerate(zip(lemma.to_pylist(), pos.to_pylist(), etymology.to_pylist(), items(formulas), strict=True)):
+            out = []
+            known = [wikitext.Formula(f["rendered"], f["source"], f["prefix"], f["suffix"]) for f in replaced or ()]
+            for i in range(bounds[k], bounds[k + 1]):
+                if not present[i]:
+                    continue
+                tags = fields["tags"][i] or []
+                chain = [wikitext.restore_formulas(g, known) if known else g for g in fields["glosses"][i] or () if g is not None]
+                if {"form-of", "alt-of"} & set(tags) or not chain or glosses.is_redirect(chain):
+                    continue
+                cleaned = glosses.clean_chain(chain)
+                if cleaned is None:
+                    continue
+                found = [s for e in range(lists[i], lists[i + 1]) if given[e] for s in sentences.parse({name: values[e] for name, values in shown.items()}, least, most)]
+                out.append({
+                    "id": identifiers.sense_id(word, tag, origin, cleaned), "glosses": cleaned, "etymology": origin or "",
+                    "synonyms": synonyms([s["word"] for s in fields["synonyms"][i] or () if s is not None], word), "tags": tags, "topics": fields["topics"][i] or [],
+                    "sentences": [sentence_row(s) for s in found], "wikidata_ids": fields["wikidata"][i] or [],
+                })
+            rows.append(out)
+        return pa.array(rows, kind)
+
+    return F.arrow_udf(build, made)
 
 
 def sentence_row(s: sentences.Sentence) -> dict:
@@ -146,18 +171,34 @@ def merged_ranges(spans: list):
 
 
 def locator(locate: Callable[[str, list[str]], list[tuple[int, int]]] = offsets.match_forms):
-    """The UDF that finds the forms of an entry in its sentences; locate is the plug-in, by default a pattern."""
-
-    @arrow(f"array<{SENTENCE}>")
-    def run(found: list, forms: list):
-        out = []
-        for s in found or ():
-            bold = [Span(o["start"], o["end"], tuple(o["sources"])) for o in s["word_offsets"] or ()]
-            own = [Span(a, b, ("lemmatizer",)) for a, b in locate(s["text"], list(forms))]
-            out.append({"text": s["text"], "word_offsets": [span_row(x) for x in offsets.merge(own, bold)], "reference": s["reference"], "year": s["year"]})
-        return out
-
-    return run
+    """The UDF that finds the forms of an entry in the sentences of its senses; locate is the plug-in, by default a pattern.
+
+    Only texts become Python values; all but the ranges is handed back as it came.
+    """
+    kind = arrow_type(f"array<{SENSE}>")
+
+    def run(senses: pa.Array, forms: pa.Array) -> pa.Array:
+        rows, lists = senses.offsets.to_pylist(), senses.values.field("sentences")
+        bounds, values = lists.offsets.to_pylist(), lists.values
+        texts, held = values.field("text"), values.field("word_offsets")
+        bold = held.to_pylist() if len(held.values) else [None] * len(held)
+        ranges: list[list[dict]] = [[]] * len(values)
+        for k, own in enumerate(forms.to_pylist()):
+            for i in range(bounds[rows[k]], bounds[rows[k + 1]]):
+                places = [Span(a, b, ("lemmatizer",)) for a, b in locate(texts[i].as_py(), own)]
+                if places or bold[i]:
+                    ranges[i] = [span_row(x) for x in offsets.merge(places, [Span(o["start"], o["end"], tuple(o["sources"])) for o in bold[i] or ()])]
+        inner = kind.value_type.field("sentences").type
+        sentences_ = pa.ListArray.from_arrays(lists.offsets, replaced(values, inner.value_type, "word_offsets", ranges), type=inner)
+        return pa.ListArray.from_arrays(senses.offsets, replaced(senses.values, kind.value_type, "sentences", sentences_), type=kind)
+
+    return F.arrow_udf(run, f"array<{SENSE}>")
+
+
+def replaced(rows: pa.StructArray, kind: pa.StructType, name: str, column: pa.Array | list) -> pa.StructArray:
+    """Rows of a kind with one column anew."""
+    new = column if isinstance(column, pa.Array) else pa.array(column, kind.field(name).type)
+    return pa.StructArray.from_arrays([new if f.name == name else rows.field(f.name).cast(f.type) for f in kind], fields=list(kind))
 
 
 CHECK = "struct<located:boolean,relation:string,violations:array<string>,shape:string,literal:boolean,offsets:int,surfaces:int>"

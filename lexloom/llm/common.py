@@ -11,19 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.batches import small_batches
+
 
 #: Python objects of so many rows are alive at once in a worker, whatever the size of Arrow's batches.
 ROWS = 512
-#: Rows and bytes of an Arrow batch on its way to a worker: each task holds one in the JVM and one in Python.
-BATCH_ROWS, BATCH_BYTES = 1024, 4 << 20
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Lower the session's Arrow batches to what a small executor can hold twice a task; never raises them."""
-    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
-        now = int(spark.conf.get(name).rstrip("b"))
-        if now <= 0 or now > most:
-            spark.conf.set(name, str(most))
 
 
 def shared_dir(spark: SparkSession) -> str:

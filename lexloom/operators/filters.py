@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,10 +30,18 @@ def map_pos(pos: Column) -> Column:
     return F.when(known.isin(*POS), known)
 
 
+def _quoted(text: str) -> str:
+    """A text as a pattern of Java for itself."""
+    return re.sub(r"([^\w\s])", r"\\\1", text)
+
+
 def starts_with_any(gloss: Column, prefixes: list[str]) -> Column:
     """Whether a gloss begins with one of the prefixes, whole words only, whatever the case and spacing."""
-    plain = F.lower(unicode_trim(F.regexp_replace(gloss, r"(?U)\s+", " ")))
-    return F.exists(F.array(*map(F.lit, prefixes)), lambda p: (plain == p) | F.startswith(plain, F.concat(p, F.lit(" "))))
+    # One word more than the longest prefix has decides; each pass over a gloss is made once, not for each prefix.
+    words = max((len(p.split(" ")) for p in prefixes), default=0)
+    head = F.regexp_extract(gloss, rf"(?U)^\s*((?:\S+\s+){{0,{words}}}\S*)", 1)
+    plain = F.lower(unicode_trim(F.regexp_replace(head, r"(?U)\s+", " ")))
+    return plain.rlike(r"\A(?:" + "|".join(map(_quoted, prefixes)) + r")(?: |\z)") if prefixes else F.lit(False)
 
 
 def is_form(tags: Column) -> Column:

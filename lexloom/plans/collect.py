@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import glosses, offsets, udfs
-from ..operators import filters, joins, merge, reports
+from ..operators import batches, filters, joins, merge, reports
 from ..schema import SENSE, SENTENCE, TABLE
 
 IN_LANGUAGE = "en"
@@ -31,8 +32,10 @@ def variants(entries: DataFrame) -> DataFrame:
     """(lemma_id, variants) gathered over all entries, whatever parts of speech are asked for later."""
     senses = entries.select("lemma", "tag", F.explode("senses").alias("s"))
     targets = F.when(F.arrays_overlap("s.tags", F.array(F.lit("alt-of"))), F.transform("s.alt_of", lambda a: a["word"]))
-    described = F.when(F.exists("s.glosses", lambda g: filters.starts_with_any(g, [p for p in _variant_prefixes()])), F.array(udfs.referred(F.element_at("s.glosses", -1))))
-    named = senses.select("lemma", "tag", F.explode(F.coalesce(targets, described)).alias("target")).where("target is not null and target <> ''")
+    described = F.exists("s.glosses", lambda g: filters.starts_with_any(g, _variant_prefixes()))
+    # Only glosses that describe a variant go through Python; a UDF under a condition would read all of them.
+    naming = senses.select("lemma", "tag", targets.alias("targets"), F.when(targets.isNull() & described, F.element_at("s.glosses", -1)).alias("gloss")).where("targets is not null or gloss is not null")
+    named = naming.select("lemma", "tag", F.explode(F.coalesce("targets", F.array(udfs.referred("gloss")))).alias("target")).where("target is not null and target <> ''")
     own = named.select(F.col("lemma").alias("variant"), F.col("target").alias("lemma"), lemma_id(F.col("target"), F.col("tag")).alias("lemma_id"))
     return merge.gather_variants(own, "lemma", "variant", by="lemma_id")
 
@@ -74,8 +77,13 @@ def merge_senses(senses: DataFrame) -> DataFrame:
 
 
 def reused(df: DataFrame) -> DataFrame:
-    """A frame that several branches read, kept: in the shared checkpoint folder if there is one, else by executors."""
-    return df.checkpoint() if df.sparkSession.conf.get("spark.checkpoint.dir", None) else df.persist()
+    """A frame that several branches read, kept: as Parquet in the shared checkpoint folder if there is one, else by executors."""
+    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        return df.persist()
+    path = f"{folder.rstrip('/')}/lexloom/reused-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ancestors(entry: DataFrame, wikidata: DataFrame) -> DataFrame:
@@ -102,6 +110,7 @@ def collect(
 
     markup: (title, formulas); wikidata: (sense_id, ids); off_page: see translation_tables().
     """
+    batches.small_batches(entries.sparkSession)
     every = usable(entries, language)
     wanted = every.where(F.col("tag").isin(*pos)) if pos else every
     with_markup = wanted.join(markup.select(F.col("title").alias("lemma"), "formulas"), "lemma", "left") if markup is not None else wanted.withColumn("formulas", F.lit(None).cast("array<struct<rendered:string,source:string,prefix:string,suffix:string>>"))
@@ -109,7 +118,12 @@ def collect(
     forms = filters.service_forms(F.coalesce("forms", F.array().cast("array<struct<form:string,tags:array<string>>>")), F.col("lemma"))
     # Four branches read the built entries; without this each would clean all texts again.
     entry = reused(built.select("lemma_id", "lemma", "tag", "ord", "built", forms.alias("own_forms"), "translations"))
-    senses = entry.select("lemma_id", F.posexplode("built").alias("at", "s"), "ord").select("lemma_id", F.struct("ord", "at", F.lit(LEAF).alias("depth")).alias("o"), "s")
+    heads = entry.groupBy("lemma_id").agg(F.min("ord").alias("ord"), F.first("lemma").alias("lemma"), F.first("tag").alias("pos"), F.array_distinct(F.flatten(F.collect_list("own_forms"))).alias("forms"))
+    none = F.array().cast("array<string>")
+    heads = joins.look_up(heads, variants(every), ["lemma_id"], {"variants": none})
+    # Texts are dealt out by lemma once; merging, nesting and the join with heads find them there.
+    dealt = entry.select("lemma_id", "ord", F.posexplode("built").alias("at", "s")).repartition("lemma_id")
+    senses = dealt.select("lemma_id", F.struct("ord", "at", F.lit(LEAF).alias("depth")).alias("o"), "s")
     if wikidata is not None:
         senses = senses.unionByName(ancestors(entry, wikidata))
     merged = merge_senses(senses)
@@ -118,19 +132,10 @@ def collect(
         joined = merged.withColumn("sense_id", F.col("s.id")).join(known, "sense_id", "left")
         merged = joined.withColumn("s", F.col("s").withField("wikidata_ids", merge.append_absent(F.array("s.wikidata_ids", F.coalesce("more", F.array().cast("array<string>")))))).select("lemma_id", "o", "s")
     nested = merged.groupBy("lemma_id").agg(merge.in_order(F.col("s"), F.col("o")).cast(f"array<{SENSE}>").alias("senses"))
-    heads = entry.groupBy("lemma_id").agg(F.min("ord").alias("ord"), F.first("lemma").alias("lemma"), F.first("tag").alias("pos"), F.array_distinct(F.flatten(F.collect_list("own_forms"))).alias("forms"))
-    none = F.array().cast("array<string>")
-    lemmas = joins.look_up(heads.join(nested, "lemma_id"), variants(every), ["lemma_id"], {"variants": none})
-    lemmas = joins.look_up(lemmas, translation_tables(entry, off_page), ["lemma_id"], {"translation_tables": F.array().cast(f"array<{TABLE}>")})
-    run = udfs.locator(locate)
-    all_forms = F.array_union("forms", "variants")
-    # Locating is Python: sentences go through it one sense at a time.
-    exploded = lemmas.select("lemma_id", all_forms.alias("f"), F.posexplode("senses").alias("at", "s"))
-    located = exploded.withColumn("s", F.col("s").withField("sentences", run("s.sentences", "f"))).groupBy("lemma_id").agg(merge.in_order(F.col("s"), F.col("at")).alias("l"))
-    done = lemmas.drop("senses").join(located, "lemma_id")
-    return done.select(
-        "ord", F.col("lemma_id").alias("id"), "lemma", "pos", "variants", F.col("l").cast(f"array<{SENSE}>").alias("senses"), "translation_tables"
-    )
+    lemmas = joins.look_up(heads.join(nested, "lemma_id"), translation_tables(entry, off_page), ["lemma_id"], {"translation_tables": F.array().cast(f"array<{TABLE}>")})
+    # Locating is Python, behind which Spark knows no partitioning, so it comes after all that needs one.
+    located = udfs.locator(locate)("senses", F.array_union("forms", "variants"))
+    return lemmas.select("ord", F.col("lemma_id").alias("id"), "lemma", "pos", "variants", located.alias("senses"), "translation_tables")
 
 
 def exported(lemmas: DataFrame) -> DataFrame:
