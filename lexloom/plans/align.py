@@ -5,20 +5,22 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import alignment, inference
 from ..functions.identifiers import query_id
+from ..operators import batches, joins
 from ..operators import decisions as rows_of
-from ..operators import joins
 from ..schema import DECISION
 
 DEFINITION = "struct<id:string,glosses:array<string>,synonyms:array<string>,tags:array<string>,topics:array<string>,examples:array<string>,sources:array<string>>"
 QUERY = f"alignment_id string, lemma_id string, lemma string, pos string, sources array<{DEFINITION}>, targets array<{DEFINITION}>"
 Model = Callable[[list[dict]], list[str | None]]
+#: A worker asks the model once its queries hold so many characters, however few they are.
+HELD_CHARS = 16_000_000
 NONE = "array<string>"
 
 
@@ -84,13 +86,15 @@ def decide(queries: DataFrame, cache: DataFrame, task: str, model: Model = align
     The model is called in batches inside the workers, only for queries with something left to decide. A response that
     is missing or invalid leaves its query with the cached decisions; a result that is invalid as a whole does too.
     """
+    batches.small_batches(queries.sparkSession)
     cached = rows_of.from_rows(cache.select(*rows_of.FIELDS)).groupBy("alignment_id").agg(F.collect_list(F.struct("source_id", "links")).alias("cached"))
     asked = queries.join(cached, "alignment_id", "left")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        size = 0
 
-        def flush() -> pd.DataFrame:
+        def flush() -> pa.RecordBatch:
             open_ = [h for h in held if h[2] and h[3]]
             asked = [{"task": task, "lemma": h[0]["lemma"], "pos": h[0]["pos"], "sources": h[2], "targets": h[3]} for h in open_]
             answers = dict(zip([h[0]["alignment_id"] for h in open_], inference.answer(model, asked), strict=True))
@@ -110,20 +114,21 @@ def decide(queries: DataFrame, cache: DataFrame, task: str, model: Model = align
                     for x in result.get(s["id"]) or ([{"target_id": "", "relation": "", "reason": ""}] if s["id"] in result else []):
                         out.append((query["alignment_id"], s["id"], x["target_id"], x["relation"], x["reason"]))
             held.clear()
-            return pd.DataFrame(out, columns=list(rows_of.FIELDS))
+            columns = list(zip(*out, strict=True)) or [()] * len(rows_of.FIELDS)
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], list(rows_of.FIELDS))
 
         for frame in frames:
-            for q in frame.to_dict("records"):
-                plain = lambda ds: [{k: list(v) if hasattr(v, "__len__") and not isinstance(v, str) else v for k, v in d.items()} for d in ds]
-                q["sources"], q["targets"] = plain(q["sources"]), plain(q["targets"])
-                known = {c["source_id"]: [dict(x) for x in c["links"] if x is not None] for c in (q["cached"] if q["cached"] is not None else [])}
+            for q in frame.to_pylist():
+                known = {c["source_id"]: [x for x in c["links"] if x is not None] for c in q["cached"] or ()}
                 held.append((q, *alignment.remaining(task, known, q["sources"], q["targets"])))
-                if len(held) >= batch_size:
+                size += sum(len(text) for d in (*q["sources"], *q["targets"]) for name in ("glosses", "examples") for text in d[name] or ())
+                if len(held) >= batch_size or size >= HELD_CHARS:
                     yield flush()
+                    size = 0
         if held:
             yield flush()
 
-    return asked.mapInPandas(run, DECISION)
+    return asked.mapInArrow(run, DECISION)
 
 
 def replay(cache: DataFrame, queries: DataFrame, task: str) -> DataFrame:
